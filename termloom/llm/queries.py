@@ -8,7 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import canon, neardup
+from . import canon, neardup, truncation
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation.CutValues(table(spark, sf_dir, "unified_lexicon")).cut_rows().withColumnRenamed("pos", "pos_ord")
+
+
+def p1_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each source's share of cut values, and its field limit if it has one."""
+    return truncation.CutValues(table(spark, sf_dir, "unified_lexicon")).by_source()
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +39,8 @@ def p5_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": p1_found,
+    "p1_sources": p1_sources,
     "p2_found": p2_found,
     "p2_classes": p2_classes,
     "p5_found": p5_found,
