@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import canon, neardup, truncation
+from . import canon, fusion, incremental, neardup, ocr, truncation
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +29,25 @@ def p2_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.TermGroups(table(spark, sf_dir, "unified_lexicon")).membership()
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p3_batches(spark, sf_dir).select("raw_id")
+
+
+def p3_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated staged rows batch by batch, with the row they repeat (a negative number: a row of the lexicon)."""
+    lex, staged = table(spark, sf_dir, "unified_lexicon"), table(spark, sf_dir, "staged_entries")
+    return incremental.repeated_batches(lex, staged, "pos_ord", "raw_id", "batch_no").withColumnRenamed("id", "raw_id")
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ocr.ScannedText(table(spark, sf_dir, "unified_lexicon")).found().withColumnRenamed("pos", "pos_ord")
+
+
+def p4_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The damaged values as continuous text."""
+    return ocr.ScannedText(table(spark, sf_dir, "unified_lexicon")).repaired().withColumnRenamed("pos", "pos_ord")
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canon.same_looking_pairs(table(spark, sf_dir, "unified_lexicon"), "pos_ord", "khmer")
 
@@ -38,12 +57,29 @@ def p5_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lex.select("pos_ord", canon.canonical_form(F.col("khmer")).alias("khmer"))
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p7_survivors(spark, sf_dir).drop("posterior")
+
+
+def p7_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The surviving row of each field of each group, with the value's posterior."""
+    lex = table(spark, sf_dir, "unified_lexicon")
+    groups = neardup.TermGroups(lex).membership()
+    return fusion.survivors(lex, groups, table(spark, sf_dir, "source_registry"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_sources": p1_sources,
     "p2_found": p2_found,
     "p2_classes": p2_classes,
+    "p3_found": p3_found,
+    "p3_batches": p3_batches,
+    "p4_found": p4_found,
+    "p4_repaired": p4_repaired,
     "p5_found": p5_found,
     "p5_canonical": p5_canonical,
+    "p7_found": p7_found,
+    "p7_survivors": p7_survivors,
 }
 ORACLE_SQL: dict[str, str] = {}
