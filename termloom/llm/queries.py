@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import canon, fusion, incremental, neardup, ocr, truncation
+from . import canon, fusion, incremental, leak, neardup, ocr, residue, truncation
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +68,25 @@ def p7_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fusion.survivors(lex, groups, table(spark, sf_dir, "source_registry"))
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p8_leaks(spark, sf_dir).drop("cover")
+
+
+def p8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaked items with the share of the item that the document holds."""
+    return leak.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue.Residue(table(spark, sf_dir, "documents")).found()
+
+
+def p10_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that stay."""
+    docs = table(spark, sf_dir, "documents")
+    return docs.join(residue.Residue(docs).found(), "doc_id", "left_anti").select("doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_sources": p1_sources,
@@ -81,5 +100,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p5_canonical": p5_canonical,
     "p7_found": p7_found,
     "p7_survivors": p7_survivors,
+    "p8_found": p8_found,
+    "p8_leaks": p8_leaks,
+    "p10_found": p10_found,
+    "p10_kept": p10_kept,
 }
 ORACLE_SQL: dict[str, str] = {}
