@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import canon, fusion, incremental, leak, neardup, ocr, residue, truncation
+from . import canon, fusion, incremental, leak, mixing, neardup, ocr, residue, truncation
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +77,16 @@ def p8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leak.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
+def p9_blend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The blend: one row per use of a document, in slot order."""
+    return mixing.Blend(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets")).rows
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and reached share of each source."""
+    return mixing.Blend(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets")).shares()
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.Residue(table(spark, sf_dir, "documents")).found()
 
@@ -102,6 +112,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p7_survivors": p7_survivors,
     "p8_found": p8_found,
     "p8_leaks": p8_leaks,
+    "p9_blend": p9_blend,
+    "p9_shares": p9_shares,
     "p10_found": p10_found,
     "p10_kept": p10_kept,
 }
