@@ -8,7 +8,8 @@ stretch of the blend is close to the targets.  The n-th slot of a source takes
 its n-th block, over again after the last one, at most ``max_repeats`` times.
 
 The number of slots is the largest at which no source needs more repeats than
-it may have, so the shares are reached.  Weights are scaled to sum to 1 over the
+it may have, so the shares are reached.  ``total_tokens`` asks for another size:
+beyond the largest, the sources that are used up fall short, as ``shares`` shows.  Weights are scaled to sum to 1 over the
 targets that can be met: a share that is null or not positive, or a source
 without documents, is left out and reported with its share reached of 0.
 
@@ -79,7 +80,7 @@ def token_counts(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
 class Blend:
     """``rows`` (slot, source, pass, doc_id, tokens) and ``shares``."""
 
-    def __init__(self, docs: DataFrame, targets: DataFrame, path: str | None = None, block: int = BLOCK):
+    def __init__(self, docs: DataFrame, targets: DataFrame, path: str | None = None, block: int = BLOCK, total_tokens: int | None = None):
         spark = docs.sparkSession
         counts = materialize(token_counts(docs, path or tokenizer_path()), "mix-counts")
         want = targets.groupBy("source").agg(F.max("target_share").alias("target_share"), F.max(F.coalesce("max_repeats", F.lit(1))).alias("max_repeats"))
@@ -109,6 +110,8 @@ class Blend:
         on = p[p["share"] > 0]
         # slots of a source deviate from share * n by about log n; the cap holds exactly, see below
         n_slots = int((on["max_repeats"] * on["blocks"] / on["share"]).min()) if len(on) else 0
+        if total_tokens is not None:
+            n_slots = total_tokens // block
         self.plan = p
         bounds = spark.createDataFrame(p[["source", "from", "to", "blocks", "size", "max_repeats"]], "source string, from double, to double, blocks long, size long, max_repeats int")
 
@@ -138,9 +141,9 @@ class Blend:
         rows = materialize(self.rows, "mix-rows")
         uses = rows.groupBy("source", "doc_id").agg(F.count("*").alias("n"), F.sum("tokens").alias("t"))
         got = uses.groupBy("source").agg(F.sum("t").alias("tokens"), F.max("n").alias("most_uses"))
-        total = got.agg(F.sum("tokens").alias("all_tokens"))
+        got = got.withColumn("all_tokens", F.sum("tokens").over(Window.partitionBy(F.lit(0))))  # a row for each target
         weights = spark.createDataFrame(self.plan[["source", "share"]].rename(columns={"share": "weight"}), "source string, weight double")
-        j = self._want.join(weights, "source", "left").join(got, "source", "left").crossJoin(F.broadcast(total))
+        j = self._want.join(weights, "source", "left").join(got, "source", "left")
         return j.select(
             "source", "target_share", "weight", F.coalesce("tokens", F.lit(0)).alias("tokens"),
             F.coalesce(F.col("tokens") / F.col("all_tokens"), F.lit(0.0)).alias("actual_share"), F.coalesce("most_uses", F.lit(0)).alias("most_uses"),

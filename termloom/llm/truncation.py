@@ -300,11 +300,12 @@ class CutValues:
             "cut-sources",
         )
         shapes = shape_counts(df, text)
-        total = shapes.agg(F.sum("ends").alias("all_ends"), F.sum("anywhere").alias("all_any"))
-        # At most 8^4 shapes exist, one row each.
-        shapes = shapes.crossJoin(F.broadcast(total)).select(
+        # At most 8^4 shapes exist, one row each; their two totals are numbers.
+        shapes = materialize(shapes, "cut-shapes")
+        ends, anywhere = shapes.agg(F.coalesce(F.sum("ends"), F.lit(0)), F.coalesce(F.sum("anywhere"), F.lit(0))).first()
+        shapes = shapes.select(
             "shape",
-            (((F.col("anywhere") + 1) / (F.col("all_any") + 4096)) / ((F.col("ends") + 0.5) / (F.col("all_ends") + 2048))).alias("shape_odds"),
+            (((F.col("anywhere") + 1) / (anywhere + 4096)) / ((F.col("ends") + 0.5) / (ends + 2048))).alias("shape_odds"),
         )
         j = feats.join(F.broadcast(self.sources), "source") if self._few_sources() else feats.join(self.sources, "source")
         j = j.join(F.broadcast(shapes), "shape", "left")
