@@ -38,7 +38,7 @@ from .canon import canonical
 from .sketch import char_shingles
 
 #: A text with at least so many letters has room for content: it joins the vocabulary and is no bare response.
-CONTENT_LETTERS, RESPONSE_LETTERS = 400, 450
+CONTENT_LETTERS, RESPONSE_LETTERS = 400, 300
 #: A longer text whose words are so often the same is no content.
 REPEATING = 0.25
 GRAM = 5
@@ -62,6 +62,8 @@ PLACEHOLDER = re.compile(
     r"|\{[a-z]+(?:[_.][a-z]+)+\}|\{[a-z]{3,40}\}",
     re.IGNORECASE,
 )
+#: What every placeholder contains; most texts have none of it.
+_OPENS = re.compile(r"[{$%<\[]|##|__|@@")
 # Words of error, maintenance, session and script messages.
 MESSAGE = re.compile(
     r"\berror\b|\berreur\b|not found|introuvable|timed? ?out|expir|denied|forbidden|refus|unavailable|indisponible|maintenance|offline"
@@ -113,9 +115,9 @@ class Residue:
             for b in batches:
                 t = b["t"].tolist()
                 letters = [len(x) if len(x) > 4 * RESPONSE_LETTERS else len(_LETTERS.findall(x)) for x in t]
-                hole = [bool(PLACEHOLDER.search(x)) for x in t]
+                hole = [bool(_OPENS.search(x)) and bool(PLACEHOLDER.search(x)) for x in t]
                 # bare responses, and longer texts that say the same again and again
-                short = [n < RESPONSE_LETTERS or variety(x) < REPEATING for n, x in zip(letters, t)]
+                short = [n < RESPONSE_LETTERS or variety(x) < REPEATING or bool(FILLER.match(x.lstrip())) for n, x in zip(letters, t)]
                 yield pd.DataFrame({"id": b["id"], "source": b["source"], "letters": letters, "placeholder": hole, "t": [x if s else None for x, s in zip(t, short)]})
 
         seen = materialize(read.mapInPandas(first, "id long, source string, letters int, placeholder boolean, t string"), "residue-first")
@@ -124,17 +126,15 @@ class Residue:
         def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
                 r, h = char_shingles([plain(x) for x in b["t"]], GRAM, seed=21)
-                yield pd.DataFrame({"id": b["id"].to_numpy()[r], "g": h.view(np.int64)}).drop_duplicates()
+                yield pd.DataFrame({"id": b["id"].to_numpy()[r], "g": h.view(np.int64)})
 
         def vocabulary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
-                t = [plain(x) for x in b["t"] if len(x) >= CONTENT_LETTERS and variety(x) >= REPEATING]
+                t = [plain(x) for x in b["t"] if len(x) >= CONTENT_LETTERS and variety(x) >= REPEATING and not FILLER.match(x.lstrip())]
                 if t:
                     r, h = char_shingles(t, GRAM, seed=21)
-                    # a gram counts once for each document
-                    pair = pd.DataFrame({"r": r, "g": h.view(np.int64)}).drop_duplicates()
-                    n = pair.groupby("g").size()
-                    yield pd.DataFrame({"g": n.index.to_numpy(), "n": n.to_numpy()})
+                    g, n = np.unique(h.view(np.int64), return_counts=True)
+                    yield pd.DataFrame({"g": g, "n": n})
 
         of_short = materialize(short.mapInPandas(grams, "id long, g long"), "residue-grams")
         wanted = of_short.select("g").distinct()
@@ -178,7 +178,7 @@ class Residue:
             + F.when((F.col("copies") > 1) & (known_share < 0.8), 1.0).otherwise(0.0)
             + F.col("host_odd") * 0.5
             - F.when(F.col("slug_match"), 1.0).otherwise(0.0)
-            - F.when(F.col("variety") < REPEATING, 0.0).otherwise(F.greatest(F.col("letters") - 250, F.lit(0)) / 60.0)
+            - F.when((F.col("variety") < REPEATING) | F.col("filler"), 0.0).otherwise(F.greatest(F.col("letters") - 250, F.lit(0)) / 60.0)
             - 1.5,
         )
         flagged = self.scores.select("id", "score")
