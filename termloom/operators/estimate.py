@@ -48,7 +48,12 @@ def wilson(errors: Column, n: Column, z: float = 1.96) -> Column:
     mid = (p + z * z / (2 * F.nullif(m, F.lit(0.0)))) / d
     half = z * F.sqrt(p * (1 - p) / F.nullif(m, F.lit(0.0)) + z * z / (4 * F.nullif(m * m, F.lit(0.0)))) / d
     zero = F.lit(0.0)
-    return F.struct(F.coalesce(p, zero).alias("p"), F.coalesce(F.greatest(zero, mid - half), zero).alias("lo"), F.coalesce(F.least(F.lit(1.0), mid + half), zero).alias("hi"))
+    some = m > 0
+    return F.struct(
+        F.when(some, p).otherwise(zero).alias("p"),
+        F.when(some, F.greatest(zero, mid - half)).otherwise(zero).alias("lo"),
+        F.when(some, F.least(F.lit(1.0), mid + half)).otherwise(zero).alias("hi"),
+    )
 
 
 def weighted_rate(tallied: DataFrame, sizes: DataFrame) -> DataFrame:
