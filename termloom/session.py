@@ -17,11 +17,27 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _own_dirs: dict[str, str] = {}
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, unless PYTHONPATH has it already."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    _shipped.add(app)
+    package = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(package)
+    if root in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    folder = tempfile.mkdtemp(prefix="termloom-py-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(folder, "termloom"), "zip", root, os.path.basename(package)))
 
 
 def build_session(master: str = "local[*]", partitions: int = 8) -> SparkSession:
     """A session for tests and benches."""
-    return (
+    spark = (
         SparkSession.builder.master(master)
         .appName("termloom")
         .config("spark.sql.shuffle.partitions", str(partitions))
@@ -33,6 +49,8 @@ def build_session(master: str = "local[*]", partitions: int = 8) -> SparkSession
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+    ship_package(spark)
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -51,6 +69,7 @@ def shared_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut there."""
     spark = df.sparkSession
+    ship_package(spark)
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}.parquet"
     writer = df.write.mode("overwrite").option("compression", "zstd")
     if partition_by:
@@ -68,4 +87,5 @@ def drop_path(spark: SparkSession, path: str) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table."""
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

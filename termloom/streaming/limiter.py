@@ -46,10 +46,7 @@ def rate_limit(events: DataFrame, client: str, time: str, event_id: str, limit:
 
 
 def _step(key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupState, limit: int, seconds: int) -> Iterator[pd.DataFrame]:
-    recent = list(state.get[0]) if state.exists and not state.hasTimedOut else []
-    if state.hasTimedOut:
-        state.remove()
-        return
+    recent = list(state.get[0]) if state.exists else []
     rows = pd.concat(list(frames)).sort_values(["t", "event_id"])
     ok = []
     for t in rows["t"]:
@@ -58,19 +55,18 @@ def _step(key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupStat
         if ok[-1]:
             recent.append(int(t))
     state.update((recent,))
-    state.setTimeoutDuration(max(seconds, 1) * 10_000)
     yield pd.DataFrame({"event_id": rows["event_id"], "client": key[0], "accepted": ok})
 
 
 def rate_limit_stream(events: DataFrame, client: str, time: str, event_id: str, limit: int = LIMIT, seconds: int = SECONDS) -> DataFrame:
-    """The same on a stream: at most ``limit`` times are kept as state of a client, and none after it has been silent."""
+    """The same on a stream: at most ``limit`` times are kept as state of a client."""
     e = events.select(F.col(event_id).cast("long").alias("event_id"), F.col(client).cast("string").alias("client"), F.unix_micros(F.col(time).cast("timestamp")).alias("t"))
 
     def step(key, frames, state):
         return _step(key, frames, state, limit, seconds)
 
     return e.groupBy("client").applyInPandasWithState(
-        step, "event_id long, client string, accepted boolean", "recent array<bigint>", "append", GroupStateTimeout.ProcessingTimeTimeout
+        step, "event_id long, client string, accepted boolean", "recent array<bigint>", "append", GroupStateTimeout.NoTimeout
     )
 
 
