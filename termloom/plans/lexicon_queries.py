@@ -263,7 +263,7 @@ def registry_report(s, d):
     return search.registry_report(_lex(s, d), table(s, d, "source_registry"))
 
 
-@query("SELECT DISTINCT word, english, khmer, source FROM unified_lexicon, (VALUES ('tax'), ('code'), ('hearing')) w(word) WHERE regexp_matches(lower(english), '\\b' || word || '\\b')")
+@query("SELECT DISTINCT word, english, khmer, source FROM unified_lexicon, (VALUES ('tax'), ('code'), ('hearing')) w(word) WHERE regexp_matches(lower(english), '(^|[^\\pL\\pN\\pM_])' || word || '($|[^\\pL\\pN\\pM_])')")
 def whole_word(s, d):
     return search.whole_word(_lex(s, d), ["tax", "code", "hearing"])
 
