@@ -10,7 +10,9 @@ collection's own terms for the rest and are long enough to show it.
 
 Evidence (natural-log odds, summed, decided at 0):
 
-* share of the text's character 5-grams that content documents use,
+* share of the text's character 5-grams that content documents use: a gram is
+  known if a fixed share of their distinct wordings has it, whatever the size of
+  the table, and response pages do not count among them,
 * how little it says: letters, and distinct letters groups among all,
 * status codes, navigation lines, version marks and other page chrome,
 * message words (errors, maintenance, sessions, scripts, cookies),
@@ -42,7 +44,11 @@ CONTENT_LETTERS, RESPONSE_LETTERS = 400, 300
 #: A longer text whose words are so often the same is no content.
 REPEATING = 0.25
 GRAM = 5
-KNOWN_MIN = 3
+#: A gram is known if so large a share of the content documents has it, and one besides the text itself.  There are at
+#: most (grams of a document) / KNOWN_RATE of them, about 10 MB, at any size of the table.
+KNOWN_RATE = 0.0005
+#: A text with a message word in every so many letters is a response page and lends no grams.
+MESSAGE_EVERY = 150
 
 # The common shapes of unfilled template places.
 PLACEHOLDER = re.compile(
@@ -73,6 +79,7 @@ MESSAGE = re.compile(
     re.IGNORECASE,
 )
 FILLER = re.compile(r"\blorem ipsum\b|\b(?:todo|tbd|tbc|n/a|xxxx|coming soon|sample text|dummy text|placeholder text)\b", re.IGNORECASE)
+_FILLER_LINE = re.compile(rf"^\s*(?:{FILLER.pattern})", re.IGNORECASE | re.MULTILINE)
 CHROME = re.compile(
     r"^\s*(?:(?:http\s*)?[1-5]\d\d\b.{0,4}$|v?\d+(?:\.\d+)+\s*$|\(ref\.?.{0,40}\)?\s*$|[←<>|«»\-_=.\s]+$|(?:[^\s|]+\s*\|\s*)+[^\s|]+\s*$|(?:error|erreur|http)\s*\d{3}\b)",
     re.IGNORECASE | re.MULTILINE,
@@ -105,6 +112,19 @@ def _slug_terms(source: str | None) -> list[str]:
     return [t for t in re.split(r"[^a-z]+", (source or "").lower()) if len(t) > 3]
 
 
+def _chunks(texts: list[str], letters: int = 500_000) -> Iterator[list[str]]:
+    """The texts in runs of about so many letters."""
+    run, n = [], 0
+    for t in texts:
+        run.append(t)
+        n += len(t)
+        if n >= letters:
+            yield run
+            run, n = [], 0
+    if run:
+        yield run
+
+
 class Residue:
     """Judgement of every document; ``judged`` has ``doc_id, placeholder, score, residue``."""
 
@@ -112,56 +132,63 @@ class Residue:
         read = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(source).alias("source"), F.col(text).alias("t")).where(F.length(F.trim("t")) > 0)
 
         def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                t = b["t"].tolist()
-                letters = [len(x) if len(x) > 4 * RESPONSE_LETTERS else len(_LETTERS.findall(x)) for x in t]
-                hole = [bool(_OPENS.search(x)) and bool(PLACEHOLDER.search(x)) for x in t]
-                # bare responses, and longer texts that say the same again and again
-                short = [n < RESPONSE_LETTERS or variety(x) < REPEATING or bool(FILLER.match(x.lstrip())) for n, x in zip(letters, t)]
-                yield pd.DataFrame({"id": b["id"], "source": b["source"], "letters": letters, "placeholder": hole, "t": [x if s else None for x, s in zip(t, short)]})
-
-        seen = materialize(read.mapInPandas(first, "id long, source string, letters int, placeholder boolean, t string"), "residue-first")
-        short = seen.where(F.col("t").isNotNull())
-
-        def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                r, h = char_shingles([plain(x) for x in b["t"]], GRAM, seed=21)
-                yield pd.DataFrame({"id": b["id"].to_numpy()[r], "g": h.view(np.int64)})
-
-        def vocabulary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                t = [plain(x) for x in b["t"] if len(x) >= CONTENT_LETTERS and variety(x) >= REPEATING and not FILLER.match(x.lstrip())]
-                if t:
-                    r, h = char_shingles(t, GRAM, seed=21)
-                    g, n = np.unique(h.view(np.int64), return_counts=True)
-                    yield pd.DataFrame({"g": g, "n": n})
-
-        of_short = materialize(short.mapInPandas(grams, "id long, g long"), "residue-grams")
-        wanted = of_short.select("g").distinct()
-        content = read.select("t").where(F.length("t") >= CONTENT_LETTERS).mapInPandas(vocabulary, "g long, n long")
-        known = content.groupBy("g").agg(F.sum("n").alias("n")).where(F.col("n") >= KNOWN_MIN).select("g")
-        known = wanted.join(known, "g").withColumn("known", F.lit(1))
-        share = of_short.join(known, "g", "left").groupBy("id").agg((F.sum(F.coalesce("known", F.lit(0))) / F.count("*")).alias("known_share"))
-
-        def evidence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             from xxhash import xxh64_intdigest
 
             for b in batches:
                 out = []
                 for i, s, t in zip(b["id"], b["source"], b["t"]):
-                    p, w = plain(t), body(t)
+                    p = plain(t)
+                    letters = len(t) if len(t) > 4 * RESPONSE_LETTERS else len(_LETTERS.findall(t))
+                    words = [m.group(0).lower() for m in MESSAGE.finditer(t)]
+                    chrome = len(CHROME.findall(t))
+                    w, v = body(t) if chrome else p, variety(p)
                     title = plain(t.strip().split("\n", 1)[0])
-                    match = any(k in p for k in _slug_terms(s))
+                    content = len(t) >= CONTENT_LETTERS and v >= REPEATING and not _FILLER_LINE.search(t) and len(words) * MESSAGE_EVERY < letters
+                    # bare responses, and longer texts that say the same again and again
+                    short = letters < RESPONSE_LETTERS or variety(t) < REPEATING or bool(FILLER.match(t.lstrip()))
                     out.append(
-                        (i, xxh64_intdigest(w) - 2**63, variety(p), len(set(m.group(0).lower() for m in MESSAGE.finditer(t))), bool(FILLER.search(t)),
-                         len(CHROME.findall(t)), match, bool(MESSAGE.search(title) or CHROME.match(t)))
+                        (i, s, letters, bool(_OPENS.search(t)) and bool(PLACEHOLDER.search(t)), xxh64_intdigest(w) - 2**63, v, len(set(words)), bool(FILLER.search(t)),
+                         chrome, any(k in p for k in _slug_terms(s)), bool(MESSAGE.search(title) or CHROME.match(t)), content, short, p)
                     )
-                yield pd.DataFrame(out, columns=["id", "wording", "variety", "messages", "filler", "chrome", "slug_match", "title_message"])
+                yield pd.DataFrame(out, columns=[x.split()[0] for x in columns.split(", ")])
 
-        ev = short.mapInPandas(
-            evidence, "id long, wording long, variety double, messages int, filler boolean, chrome int, slug_match boolean, title_message boolean"
+        columns = (
+            "id long, source string, letters int, placeholder boolean, wording long, variety double, messages int, filler boolean, "
+            "chrome int, slug_match boolean, title_message boolean, content boolean, short boolean, p string"
         )
-        ev = materialize(ev.join(short.select("id", "source", "letters"), "id").join(share, "id", "left"), "residue-evidence")
+        seen = materialize(read.mapInPandas(first, columns), "residue-first")
+
+        def vocabulary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                for t in _chunks(b["p"].tolist()):
+                    r, h = char_shingles(t, GRAM, seed=21)
+                    # a gram counts once for each document
+                    each = [np.unique(x) for x in np.split(h.view(np.int64), np.flatnonzero(np.diff(r)) + 1)]
+                    g, n = np.unique(np.concatenate(each), return_counts=True)
+                    yield pd.DataFrame({"g": g, "n": n})
+
+        content = seen.where("content")
+        # copies of a text count once
+        leader = content.groupBy("wording").agg(F.min("id").alias("leader"), F.count("*").alias("copies"))
+        n_content = leader.count()
+        again = content.join(leader.where("copies > 1").select("wording", "leader"), "wording").where("id <> leader").select("id")
+        counts = content.join(again, "id", "left_anti").select("p").mapInPandas(vocabulary, "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
+        known = np.sort(counts.where(F.col("n") >= max(2.0, KNOWN_RATE * n_content)).select("g").toPandas()["g"].to_numpy(np.int64))
+
+        def shares(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                share = []
+                for t in _chunks(b["p"].tolist()):
+                    r, h = char_shingles(t, GRAM, seed=21)
+                    g = h.view(np.int64)
+                    at = np.searchsorted(known, g)
+                    hit = known[np.minimum(at, len(known) - 1)] == g if len(known) else np.zeros(len(g), bool)
+                    share.append(np.bincount(r, hit, len(t)) / np.maximum(np.bincount(r, minlength=len(t)), 1))
+                yield b.drop(columns="p").assign(known_share=np.concatenate(share) if share else np.zeros(0))
+
+        of_text = seen.where("short").drop("placeholder", "content", "short")
+        ev = of_text.mapInPandas(shares, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in of_text.schema if f.name != "p") + ", known_share double")
+        ev = materialize(ev, "residue-evidence")
         # the same wording over all documents, and over one host
         same = ev.groupBy("wording").agg(F.count("*").alias("copies"))
         host = ev.groupBy("source").agg(F.avg((F.coalesce("known_share", F.lit(0.0)) < 0.5).cast("double")).alias("host_odd"))

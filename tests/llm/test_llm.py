@@ -348,3 +348,24 @@ def test_residue(spark):
     df = spark.createDataFrame(docs, "doc_id long, source string, text string")
     assert {x.doc_id for x in residue.Residue(df).found().collect()} == set(bad)
     assert residue.Residue(df.limit(0)).found().count() == 0
+
+
+def known_shares(spark, docs):
+    rows = residue.Residue(spark.createDataFrame(docs, "doc_id long, source string, text string")).scores.select("id", "known_share").collect()
+    return {x.id: x.known_share for x in rows}
+
+
+def test_residue_known_grams_are_a_rate(spark):
+    r = random.Random(12)
+    vocab = [prose(r, 1) for _ in range(150)]
+    text = lambda n: " ".join(r.choice(vocab) for _ in range(n)) + "."
+    page = "Error 502: bad gateway. The upstream server refused the request, try again. "
+    long_page = page + " ".join(f"Session {prose(r, 3)} expired, please sign in." for _ in range(12))
+    docs = [(i, "host1-notes", text(80)) for i in range(7000)]
+    rare = "quibz wevox jyndar plukth"  # three of 7,000 documents
+    docs += [(8000 + i, "host1-notes", f"{text(60)} {rare} {text(20)}") for i in range(3)]
+    docs += [(8100, "host1-notes", f"{text(60)} {'fjorx gwelm vazzik ' * 4} {text(20)}")]  # one document, again and again
+    docs += [(8200 + i, "host2-notes", long_page) for i in range(6)]  # one page, fetched six times
+    docs += [(9000, "host2-notes", rare), (9001, "host2-notes", "fjorx gwelm vazzik"), (9002, "host2-notes", page), (9003, "host2-notes", text(12))]
+    got = known_shares(spark, docs)
+    assert got[9000] < 0.2 and got[9001] < 0.2 and got[9002] < 0.2 and got[9003] > 0.9
