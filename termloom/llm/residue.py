@@ -6,14 +6,14 @@ slug and with the terms that documents with content use: a text of low
 information whose terms hardly occur in such documents, that repeats itself, or
 whose wording recurs over documents of a host while its slug and title do not
 match it, is residue.  Texts that only write about such things use the
-collection's own terms for the rest and are long enough to show it.
+collection's own terms for the rest and have enough of them to show it.
 
-Evidence (natural-log odds, summed, decided at 0):
+Evidence (natural-log odds, summed, decided at 0), of every text of any length:
 
 * share of the text's character 5-grams that content documents use: a gram is
   known if a fixed share of their distinct wordings has it, whatever the size of
   the table, and response pages do not count among them,
-* how little it says: letters, and distinct letters groups among all,
+* how little it says: letters of known wording, and distinct letters groups among all,
 * status codes, navigation lines, version marks and other page chrome,
 * message words (errors, maintenance, sessions, scripts, cookies),
 * the same wording, numbers aside, in other documents, by host,
@@ -39,14 +39,18 @@ from ..session import materialize
 from .canon import canonical
 from .sketch import char_shingles
 
-#: A text with at least so many letters has room for content: it joins the vocabulary and is no bare response.
-CONTENT_LETTERS, RESPONSE_LETTERS = 400, 300
+#: A text with at least so many characters has room for content and joins the vocabulary.
+CONTENT_LETTERS = 400
+#: The letters of a longer text are not counted one by one.
+LONG = 1200
 #: A longer text whose words are so often the same is no content.
 REPEATING = 0.25
 GRAM = 5
 #: A gram is known if so large a share of the content documents has it, and one besides the text itself.  There are at
 #: most (grams of a document) / KNOWN_RATE of them, about 10 MB, at any size of the table.
 KNOWN_RATE = 0.0005
+#: A text that shares less of its grams is strange, where nearly all content documents share about four tenths more.
+USUAL_SHARE = 0.62
 #: A text with a message word in every so many letters is a response page and lends no grams.
 MESSAGE_EVERY = 150
 
@@ -78,13 +82,23 @@ MESSAGE = re.compile(
     r"|សូមបើក|កំហុស|ថែទាំ|សូមព្យាយាម|មិនដំណើរការ|រកមិនឃើញ|សំណើ|អាសយដ្ឋាន|ម៉ាស៊ីន",
     re.IGNORECASE,
 )
+#: What every message holds in lower case; most texts have none of it.
+_MESSAGE_KEYS = (
+    "error", "erreur", "not found", "introuvable", "timeout", "time out", "timedout", "timed out", "expir", "denied", "forbidden", "refus", "unavailable", "indisponible",
+    "maintenance", "offline", "script", "cookie", "browser", "navigateur", "try again", "essay", "sign in", "login", "log in", "reconnect", "session", "too many", "rate limit",
+    "gateway", "upstream", "requested", "activer", "enable", "turn on", "turned on", "switched off", "server", "serveur", "status ", "http ", "compiled", "fatal", "redirect",
+    "captcha", "blocked", "សូមបើក", "កំហុស", "ថែទាំ", "សូមព្យាយាម", "មិនដំណើរការ", "រកមិនឃើញ", "សំណើ", "អាសយដ្ឋាន", "ម៉ាស៊ីន",
+)
+_FILLER_KEYS = ("lorem", "todo", "tbd", "tbc", "n/a", "xxxx", "coming soon", " text")
+#: Letters that match others in patterns without case and are not told by ``lower``.
+_FOLDS = re.compile("[ſıİK]")
 FILLER = re.compile(r"\blorem ipsum\b|\b(?:todo|tbd|tbc|n/a|xxxx|coming soon|sample text|dummy text|placeholder text)\b", re.IGNORECASE)
 _FILLER_LINE = re.compile(rf"^\s*(?:{FILLER.pattern})", re.IGNORECASE | re.MULTILINE)
 CHROME = re.compile(
     r"^\s*(?:(?:http\s*)?[1-5]\d\d\b.{0,4}$|v?\d+(?:\.\d+)+\s*$|\(ref\.?.{0,40}\)?\s*$|[←<>|«»\-_=.\s]+$|(?:[^\s|]+\s*\|\s*)+[^\s|]+\s*$|(?:error|erreur|http)\s*\d{3}\b)",
     re.IGNORECASE | re.MULTILINE,
 )
-_LETTERS = re.compile(r"[^\W\d_]|[ក-៓]")
+_LETTERS = re.compile(r"[^\W\d_ក-៓]+|[ក-៓]+")
 _NUMBER = re.compile("[0-9\\u17e0-\\u17e9]+")
 _SPACE = re.compile(r"\s+")
 
@@ -99,6 +113,15 @@ def body(text: str) -> str:
     return plain(CHROME.sub(" ", text))
 
 
+def letters_of(text: str) -> int:
+    return sum(map(len, _LETTERS.findall(text)))
+
+
+def may_have(keys: tuple[str, ...], *texts: str) -> bool:
+    """Whether a text of ``texts``, in lower case, holds one of ``keys`` or letters that ``lower`` leaves."""
+    return any(k in t for t in texts for k in keys) or any(_FOLDS.search(t) for t in texts if not t.isascii())
+
+
 def variety(text: str) -> float:
     """Distinct share of the words, or of character 6-grams where there are few words."""
     w = text.split()
@@ -138,23 +161,23 @@ class Residue:
                 out = []
                 for i, s, t in zip(b["id"], b["source"], b["t"]):
                     p = plain(t)
-                    letters = len(t) if len(t) > 4 * RESPONSE_LETTERS else len(_LETTERS.findall(t))
-                    words = [m.group(0).lower() for m in MESSAGE.finditer(t)]
+                    letters = len(t) if len(t) > LONG else letters_of(t)
+                    low = t.lower()
+                    said, fill = may_have(_MESSAGE_KEYS, low, p), may_have(_FILLER_KEYS, low)
+                    words = [m.group(0).lower() for m in MESSAGE.finditer(t)] if said else []
                     chrome = len(CHROME.findall(t))
                     w, v = body(t) if chrome else p, variety(p)
-                    title = plain(t.strip().split("\n", 1)[0])
-                    content = len(t) >= CONTENT_LETTERS and v >= REPEATING and not _FILLER_LINE.search(t) and len(words) * MESSAGE_EVERY < letters
-                    # bare responses, and longer texts that say the same again and again
-                    short = letters < RESPONSE_LETTERS or variety(t) < REPEATING or bool(FILLER.match(t.lstrip()))
+                    title = plain(t.strip().split("\n", 1)[0]) if said else ""
+                    content = len(t) >= CONTENT_LETTERS and v >= REPEATING and not (fill and _FILLER_LINE.search(t)) and len(words) * MESSAGE_EVERY < letters
                     out.append(
-                        (i, s, letters, bool(_OPENS.search(t)) and bool(PLACEHOLDER.search(t)), xxh64_intdigest(w) - 2**63, v, len(set(words)), bool(FILLER.search(t)),
-                         chrome, any(k in p for k in _slug_terms(s)), bool(MESSAGE.search(title) or CHROME.match(t)), content, short, p)
+                        (i, s, letters, bool(_OPENS.search(t)) and bool(PLACEHOLDER.search(t)), xxh64_intdigest(w) - 2**63, v, len(set(words)), fill and bool(FILLER.search(t)),
+                         chrome, any(k in p for k in _slug_terms(s)), bool(MESSAGE.search(title) or CHROME.match(t)), content, p)
                     )
                 yield pd.DataFrame(out, columns=[x.split()[0] for x in columns.split(", ")])
 
         columns = (
             "id long, source string, letters int, placeholder boolean, wording long, variety double, messages int, filler boolean, "
-            "chrome int, slug_match boolean, title_message boolean, content boolean, short boolean, p string"
+            "chrome int, slug_match boolean, title_message boolean, content boolean, p string"
         )
         seen = materialize(read.mapInPandas(first, columns), "residue-first")
 
@@ -186,9 +209,12 @@ class Residue:
                     share.append(np.bincount(r, hit, len(t)) / np.maximum(np.bincount(r, minlength=len(t)), 1))
                 yield b.drop(columns="p").assign(known_share=np.concatenate(share) if share else np.zeros(0))
 
-        of_text = seen.where("short").drop("placeholder", "content", "short")
+        of_text = seen.drop("placeholder")
         ev = of_text.mapInPandas(shares, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in of_text.schema if f.name != "p") + ", known_share double")
         ev = materialize(ev, "residue-evidence")
+        # what content documents of this table share with one another: less in a small one
+        low = ev.where("content").agg(F.percentile_approx("known_share", 0.05)).first()[0]
+        usual = USUAL_SHARE if low is None else max(0.01, min(USUAL_SHARE, 0.7 * low))
         # the same wording over all documents, and over one host
         same = ev.groupBy("wording").agg(F.count("*").alias("copies"))
         host = ev.groupBy("source").agg(F.avg((F.coalesce("known_share", F.lit(0.0)) < 0.5).cast("double")).alias("host_odd"))
@@ -196,16 +222,17 @@ class Residue:
         known_share = F.coalesce("known_share", F.lit(0.0))
         self.scores = ev.withColumn(
             "score",
-            (0.62 - known_share) * 12
+            (usual - known_share) * 12
             + F.when(F.col("variety") < 0.35, 5.0).when(F.col("variety") < 0.5, 2.0).otherwise(0.0)
-            + F.least(F.col("messages"), F.lit(3)) * 1.0
+            + F.least(F.col("messages"), F.lit(3)) * F.least(F.lit(1.0), 180 / F.greatest(F.col("letters"), F.lit(1)))
             + F.when(F.col("filler"), 2.5).otherwise(0.0)
             + F.least(F.col("chrome"), F.lit(3)) * 0.7
             + F.when(F.col("title_message"), 1.0).otherwise(0.0)
             + F.when((F.col("copies") > 1) & (known_share < 0.8), 1.0).otherwise(0.0)
             + F.col("host_odd") * 0.5
             - F.when(F.col("slug_match"), 1.0).otherwise(0.0)
-            - F.when((F.col("variety") < REPEATING) | F.col("filler"), 0.0).otherwise(F.greatest(F.col("letters") - 250, F.lit(0)) / 60.0)
+            - F.when((F.col("variety") < REPEATING) | F.col("filler"), 0.0).otherwise(
+                F.greatest(F.col("letters") * F.least(F.lit(1.0), 0.7 * known_share / usual) - 250, F.lit(0)) / 60.0)
             - 1.5,
         )
         flagged = self.scores.select("id", "score")

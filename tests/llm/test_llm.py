@@ -369,3 +369,20 @@ def test_residue_known_grams_are_a_rate(spark):
     docs += [(9000, "host2-notes", rare), (9001, "host2-notes", "fjorx gwelm vazzik"), (9002, "host2-notes", page), (9003, "host2-notes", text(12))]
     got = known_shares(spark, docs)
     assert got[9000] < 0.2 and got[9001] < 0.2 and got[9002] < 0.2 and got[9003] > 0.9
+
+
+def test_residue_of_any_length(spark):
+    r = random.Random(13)
+    vocab = [prose(r, 1) for _ in range(150)]
+    text = lambda n: " ".join(r.choice(vocab) for _ in range(n)) + "."
+    mention = "The handbook explains what a server error is and which term replaced the loan. "
+    docs = [(i, f"host{i % 3}-notes", (mention if i % 5 == 0 else "") + text(30 + i)) for i in range(200)]
+    trace = "Error 500: the server could not complete the request.\n" + "\n".join(f"  at org.{prose(r, 1)}.{prose(r, 1)}(Main.java:{n})" for n in range(40))
+    cookies = "Home | Search | Help\n" + prose(r, 30) + ".\nThis site uses cookies. Enable cookies in your browser to log in and try again.\n" + prose(r, 60)
+    lorem = "Annual bulletin of terms\nLorem ipsum " + prose(r, 100)
+    other = prose(r, 120)  # filler in other words
+    bad = {500: trace, 501: cookies, 502: lorem, 503: other}
+    docs += [(k, "host2-notes", v) for k, v in bad.items()]
+    assert all(residue.letters_of(v) >= 450 for v in bad.values())
+    df = spark.createDataFrame(docs, "doc_id long, source string, text string")
+    assert {x.doc_id for x in residue.Residue(df).found().collect()} == set(bad)
