@@ -2,7 +2,7 @@
 
 Method: page furniture (running headers, page numbers) and words broken over
 lines are taken out by line rules.  Words with characters that do not belong
-there, or that are rare and one confusion away from a frequent word, are looked
+there, or that are rare beside a frequent word one confusion away, are looked
 up in a symmetric-delete index over the corpus frequency lexicon: a suspect and
 a lexicon word meet when deleting up to ``DELETES`` characters from each can
 make them equal.  A weighted edit distance, in which known confusion pairs are
@@ -32,8 +32,11 @@ CONFUSIONS = [
     ("c", "e"), ("e", "c"), ("rn", "m"), ("m", "rn"), ("c1", "d"), ("cl", "d"), ("d", "cl"), ("vv", "w"), ("ii", "u"), ("l", "i"), ("i", "l"), ("h", "b"), ("n", "u"), ("u", "n"), ("f", "t"), ("li", "h"),
 ]
 DELETES = 2
-#: How often a lexicon word must occur to serve as a repair, and to make a rare look-alike of it a case; how rare that is.
+#: How often a lexicon word must occur to serve as a repair, and to make a rare look-alike of it a case; how rare a word is
+#: that may have any repair.
 LEXICON_MIN, CERTAIN_MIN, RARE_MAX = 8, 20, 2
+#: A word of any frequency is a misreading of one so many times as frequent, if that is one cheap confusion away.
+RARE_RATIO, CHEAP = 10, 0.45
 
 _KM = "\\u1780-\\u17d3\\u17dd"
 _ODD = "0-9A-Za-z\\u00a2-\\u00a9\\u00ac\\u00ae-\\u00b6\\u2022{}^~|*+=<>@#$%&_\\\\\\u00a6"
@@ -177,29 +180,32 @@ class ScannedText:
         word = F.col("word")
         strange = lexicon.where(
             (word.rlike(odd) & (F.length(word) <= 40))
-            | (word.rlike("^[a-z]{4,40}$") & (F.col("freq") <= RARE_MAX))
-        ).select(word.alias("seen"))
+            | word.rlike("^[a-z]{4,40}$")
+        ).select(word.alias("seen"), F.col("freq").alias("seen_freq"))
         good = lexicon.where((F.col("freq") >= LEXICON_MIN) & (F.length(word) >= 3) & (F.length(word) <= 40) & ~word.rlike("[0-9!|$]"))
 
-        def spread(col: str):
+        def spread(col: str, n: str):
             def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 for b in batches:
-                    rows = [(k, w) for w in b[col] for k in deletions(w)]
-                    yield pd.DataFrame(rows, columns=["key", col]).assign(key=lambda x: x["key"].astype(str))
+                    rows = [(k, w, f) for w, f in zip(b[col], b[n]) for k in deletions(w)]
+                    yield pd.DataFrame(rows, columns=["key", col, n]).assign(key=lambda x: x["key"].astype(str))
 
             return run
 
-        a = strange.mapInPandas(spread("seen"), "key string, seen string")
-        b = good.select("word").mapInPandas(spread("word"), "key string, word string")
-        meet = a.join(b, "key").select("seen", "word").distinct()
+        # letters only and not rare: the repair must be far more frequent
+        often = F.col("seen").rlike("^[a-z]+$") & (F.col("seen_freq") > RARE_MAX)
+        top = F.lit(good.agg(F.max("freq")).first()[0] or 0)
+        a = strange.where(~often | (F.col("seen_freq") * RARE_RATIO <= top)).mapInPandas(spread("seen", "seen_freq"), "key string, seen string, seen_freq long")
+        b = good.mapInPandas(spread("word", "freq"), "key string, word string, freq long")
+        meet = a.join(b, "key").where(~often | (F.col("seen_freq") * RARE_RATIO <= F.col("freq"))).select("seen", "word", "freq", often.alias("often")).distinct()
 
         def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for x in batches:
                 cost = [weighted_distance(s, w) for s, w in zip(x["seen"], x["word"])]
-                yield x.assign(cost=cost)[[c <= 1.0 for c in cost]]
+                yield x.assign(cost=cost)[["seen", "word", "cost", "freq"]][[c <= (CHEAP if o else 1.0) for c, o in zip(cost, x["often"])]]
 
-        scored = meet.mapInPandas(score, "seen string, word string, cost double")
-        return scored.join(good, "word").select("seen", F.col("word").alias("repair"), "cost", "freq")
+        scored = meet.mapInPandas(score, "seen string, word string, cost double, freq long")
+        return scored.select("seen", F.col("word").alias("repair"), "cost", "freq")
 
     def judged(self) -> DataFrame:
         """``pos, field_name, text, layout, odd, confused``: every value that is damaged in some way."""
@@ -208,7 +214,7 @@ class ScannedText:
         self.fix = fix
         sus = self.suspects()
         # A rare word that is one cheap confusion away from a frequent one makes its value a case.
-        confused = fix.where(f"cost <= 0.45 and freq >= {CERTAIN_MIN}").where(F.col("seen").rlike("^[a-z]+$")).select(F.col("seen").alias("w")).distinct()
+        confused = fix.where(f"cost <= {CHEAP} and freq >= {CERTAIN_MIN}").where(F.col("seen").rlike("^[a-z]+$")).select(F.col("seen").alias("w")).distinct()
         plain = sus.where("not layout and not odd").where(F.col("text").rlike("[a-z]{4}"))
         words = plain.select("pos", "field_name", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{4,40})"), F.lit(1)))).alias("w"))
         hit = words.join(confused, "w", "left_semi").select("pos", "field_name").distinct().withColumn("confused", F.lit(True))

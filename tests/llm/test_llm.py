@@ -386,3 +386,11 @@ def test_residue_of_any_length(spark):
     assert all(residue.letters_of(v) >= 450 for v in bad.values())
     df = spark.createDataFrame(docs, "doc_id long, source string, text string")
     assert {x.doc_id for x in residue.Residue(df).found().collect()} == set(bad)
+
+
+def test_misreading_that_recurs(spark):
+    good = "the lateral channel register covers further cases"
+    rows = [(i, None, good) for i in range(200)] + [(1000 + i, None, "the lateral channcl register") for i in range(5)]
+    t = ocr.ScannedText(spark.createDataFrame(rows, "pos_ord long, khmer string, definition string"))
+    assert {r.pos for r in t.found().collect()} == {1000 + i for i in range(5)}
+    assert {r.repaired for r in t.repaired().collect()} == {"the lateral channel register"}
