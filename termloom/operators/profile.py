@@ -2,37 +2,52 @@
 
 Exact aggregates per load and column come from one pass each.  For changes a
 classifier two-sample test asks, load by load, how well a logistic regression
-can tell the load's rows from those of the median load: first by each column
-alone, then by all columns with one left out in turn (ablation).
+can tell the load's rows from the usual ones: by each column with all others
+ablated, against the median load, and by all columns together, against all rows,
+where each column is then ablated in turn (its part of the score is replaced by
+its mean; the loss is the log-likelihood per row that this costs).  A column
+changed if it discriminates by itself and the model of all columns needs it.
 
 Every row is described by a bounded set of attributes per column (blank, length,
 case, script, words, ending, coding).  Spark counts the rows of each attribute
-pattern by load and fold, over all data; the regression then runs on these
-weighted patterns, one load per task, so nothing is sampled and its size does
-not depend on the number of rows.  The patterns' median share over the loads is
-what the median load shows.  Discrimination is cross-fitted: the area under the
+pattern by load and fold, over all data and in one pass; the regressions run on
+these weighted patterns, so nothing is sampled.  They are fitted together by
+distributed Newton steps: tasks sum up gradients and curvature of their part of
+the patterns, a shuffle adds them up by model, and only the weights come to the
+driver (some hundreds of numbers a model).  Both the load and what it is compared
+with are folded by row, and discrimination is cross-fitted: the area under the
 curve is always measured on the fold the model was not fitted on.  Twice the
 area, less one, is at least the share of rows that depart.
 
-Cases: null and blank values count as blank; a load without rows is not there; a
-null load number is a load of its own; with fewer than three loads there is no
-median and no change is reported; repeated rows count as often as they occur; an
-empty table gives an empty result.
+Cases: null and blank values count as blank, and a load in which all columns are
+blank is judged like any other; a load without rows is not there; a null load
+number is a load of its own; with fewer than three loads there is no median and
+no change is reported; repeated rows count as often as they occur; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 FOLDS = 2
 #: Least share of departing rows, and least distance from chance in standard errors, for a report.
 DEPART, SIGNIFICANT = 0.18, 4.0
+#: Least loss of log-likelihood a row when the column is ablated from the model of all columns.
+ABLATION = 0.002
+RIDGE, ROUNDS, STEP = 1.0, 10, 0.02
+#: Loads that are fitted at a time; their weights are on the driver.
+LOADS_AT_ONCE = 256
 _LEVELS = (2, 8, 5, 32, 6, 16, 4)
+#: Attributes that the joint patterns keep: case, script, coding.
+_JOINT = (2, 3, 6)
 
 
 def blank(c: Column) -> Column:
@@ -91,139 +106,234 @@ def attribute_pattern(c: Column) -> Column:
     return F.when(blank(c), F.lit(0)).otherwise(code).cast("int")
 
 
-def _one_hot(codes: np.ndarray) -> np.ndarray:
-    """Indicator columns of the attributes of a pattern."""
-    out = np.zeros((len(codes), sum(_LEVELS)))
-    rest, at = codes.copy(), sum(_LEVELS)
-    digits = []
-    for level in reversed(_LEVELS):
-        digits.append((rest % level, level))
-        rest = rest // level
-    for d, level in digits:
-        at -= level
-        out[np.arange(len(codes)), at + d] = 1.0
-    # of a blank value only the first attribute counts
-    out[codes == 0] = 0.0
-    out[codes == 0, 0] = 1.0
-    return out
-
+def _features(codes: np.ndarray) -> np.ndarray:
+    """Feature numbers of every attribute of every column, ``rows x (columns * attributes)``; -1 for none.
 
-def fit_logistic(x: np.ndarray, y_weight: np.ndarray, n_weight: np.ndarray, ridge: float = 1.0, rounds: int = 12) -> np.ndarray:
-    """Weights of a logistic regression by Newton steps; both classes count alike in total."""
-    x = np.hstack([np.ones((len(x), 1)), x])
-    a = y_weight / max(y_weight.sum(), 1e-9) * 0.5 * (y_weight.sum() + 1)
-    b = n_weight / max(n_weight.sum(), 1e-9) * 0.5 * (y_weight.sum() + 1)
-    w = np.zeros(x.shape[1])
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        g = x.T @ (a * (1 - p) - b * p) - ridge * w
-        h = (x * ((a + b) * p * (1 - p))[:, None]).T @ x + ridge * np.eye(x.shape[1])
-        step = np.linalg.solve(h, g)
-        w = w + step
-        if np.abs(step).max() < 1e-4:
-            break
-    return w
+    ``codes`` is ``rows x columns``: -1 for an ablated column, 0 for a blank value, of which only the first attribute counts.
+    """
+    out = np.full((len(codes), codes.shape[1] * len(_LEVELS)), -1, dtype=np.int64)
+    size = sum(_LEVELS)
+    for j in range(codes.shape[1]):
+        rest, at = codes[:, j].copy(), (j + 1) * size
+        some = rest > 0
+        for i in range(len(_LEVELS) - 1, -1, -1):
+            at -= _LEVELS[i]
+            digit = rest % _LEVELS[i]
+            rest = rest // _LEVELS[i]
+            out[some, j * len(_LEVELS) + i] = at + digit[some]
+        out[codes[:, j] == 0, j * len(_LEVELS)] = j * size
+    return out
 
 
 def area(score: np.ndarray, pos: np.ndarray, neg: np.ndarray) -> float:
     """Weighted area under the curve; ties count half."""
-    _, inv = np.unique(np.round(score, 9), return_inverse=True)
+    _, inv = np.unique(score, return_inverse=True)
     p, n = np.bincount(inv, pos), np.bincount(inv, neg)
     below = np.cumsum(n) - n
     total = p.sum() * n.sum()
     return float((p * (below + n / 2)).sum() / total) if total else 0.5
 
 
-def _discriminate(load: pd.DataFrame, median: pd.DataFrame, columns: list[str], feats: list[str]) -> tuple[float, float]:
-    """Cross-fitted area of the model on the given columns, and its standard error at chance."""
-    key = [f"p_{c}" for c in feats]
-    aucs, weights = [], []
-    ref = median.groupby(key)["share"].sum().reset_index()
-    n_all = load["n"].sum()
-    for fold in range(FOLDS):
-        fit = load[load["fold"] != fold].groupby(key)["n"].sum().reset_index()
-        test = load[load["fold"] == fold].groupby(key)["n"].sum().reset_index()
-        if not len(fit) or not len(test):
-            continue
-        m = ref.merge(fit, on=key, how="outer").merge(test.rename(columns={"n": "t"}), on=key, how="outer").fillna(0)
-        x = np.hstack([_one_hot(m[k].to_numpy(dtype=np.int64)) for k in key])
-        w = fit_logistic(x, m["n"].to_numpy(float), m["share"].to_numpy(float))
-        s = np.hstack([np.ones((len(x), 1)), x]) @ w
-        aucs.append(area(s, m["t"].to_numpy(float), m["share"].to_numpy(float)))
-        weights.append(test["n"].sum())
-    if not aucs:
-        return 0.5, 1.0
-    return float(np.average(aucs, weights=weights)), float(np.sqrt(1 / (12 * max(n_all, 1))) * 1.5)
+def _design(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Indicator matrix with a constant, over the features that occur, and their numbers (the constant is -1)."""
+    f = _features(codes)
+    used = np.unique(f)
+    used = used[used >= 0]
+    x = np.zeros((len(codes), len(used) + 1))
+    x[:, 0] = 1.0
+    for k in range(f.shape[1]):
+        some = np.flatnonzero(f[:, k] >= 0)
+        x[some, 1 + np.searchsorted(used, f[some, k])] = 1.0
+    return x, np.concatenate([[-1], used])
+
+
+_MODEL = ["li", "m", "fold"]
+_PART = "li int, m int, fold int, used array<int>, g array<double>, h array<double>, mean array<double>"
+
+
+def _balanced(b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of both classes, alike in total."""
+    half = 0.5 * (b["n_all"].to_numpy() + 1)
+    return b["n"].to_numpy() / np.maximum(b["n_all"].to_numpy(), 1e-9) * half, b["r"].to_numpy() / np.maximum(b["r_all"].to_numpy(), 1e-9) * half
+
+
+def _newton_parts(weights: dict[tuple[int, int, int], dict[int, float]]):
+    """Gradient, curvature and mean of the features of each model, over one task's patterns."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            a, r = _balanced(b)
+            for key, at in b.groupby(_MODEL).indices.items():
+                x, used = _design(np.stack(b["codes"].to_numpy()[at]).astype(np.int64))
+                known = weights.get(tuple(int(k) for k in key), {})
+                w = np.array([known.get(int(u), 0.0) for u in used])
+                p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+                g = x.T @ (a[at] * (1 - p) - r[at] * p)
+                h = (x * ((a[at] + r[at]) * p * (1 - p))[:, None]).T @ x
+                out.append((*key, used, g, h.ravel(), x.T @ (a[at] + r[at])))
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in _PART.split(", ")])
+
+    return run
+
+
+def _newton_step(parts: pd.DataFrame) -> pd.DataFrame:
+    """The parts of one model added up, and the step they call for."""
+    used = np.unique(np.concatenate(parts["used"].to_list()))
+    g, h, mean = np.zeros(len(used)), np.zeros((len(used), len(used))), np.zeros(len(used))
+    for u, gi, hi, mi in zip(parts["used"], parts["g"], parts["h"], parts["mean"]):
+        at = np.searchsorted(used, u)
+        g[at] += gi
+        h[np.ix_(at, at)] += np.reshape(hi, (len(at), len(at)))
+        mean[at] += mi
+    key = {k: [parts[k].iloc[0]] for k in _MODEL}
+    return pd.DataFrame({**key, "used": [used], "g": [g], "h": [h.ravel()], "mean": [mean / max(mean[0], 1e-9)]})
+
+
+def fit_logistic(patterns: DataFrame, rounds: int = ROUNDS, ridge: float = RIDGE) -> dict[tuple[int, int, int], tuple[dict[int, float], dict[int, float]]]:
+    """Weights and feature means of all models ``(li, m, fold)``, fitted together on ``codes`` with ``n, r, n_all, r_all``."""
+    weights: dict[tuple[int, int, int], dict[int, float]] = {}
+    means: dict[tuple[int, int, int], dict[int, float]] = {}
+
+    def solve(parts: pd.DataFrame) -> pd.DataFrame:
+        s = _newton_step(parts)
+        used = s["used"][0]
+        known = weights.get(tuple(int(s[k][0]) for k in _MODEL), {})
+        w = np.array([known.get(int(u), 0.0) for u in used])
+        step = np.linalg.solve(np.reshape(s["h"][0], (len(used), len(used))) + ridge * np.eye(len(used)), s["g"][0] - ridge * w)
+        return s.assign(g=[w + step], h=[np.array([np.abs(step).max()])])
+
+    n = int(patterns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    for _ in range(rounds):
+        parts = patterns.mapInPandas(_newton_parts(dict(weights)), _PART).repartition(n, *_MODEL)
+        new = parts.groupBy(*_MODEL).applyInPandas(solve, _PART).collect()  # some hundreds of numbers a model
+        for x in new:
+            key = (x.li, x.m, x.fold)
+            weights[key] = dict(zip(x.used, x.g))
+            means[key] = dict(zip(x.used, x["mean"]))
+        if all(x.h[0] < STEP for x in new):
+            break
+    return {k: (w, means[k]) for k, w in weights.items()}
+
+
+def _scores(models: dict, n_columns: int):
+    """Held-out patterns scored by the model of the other folds, and what ablating each column costs the model of all."""
+    size = sum(_LEVELS)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            a, r = _balanced(b)
+            for key, at in b.groupby(_MODEL).indices.items():
+                x, used = _design(np.stack(b["codes"].to_numpy()[at]).astype(np.int64))
+                w, mean = models.get(tuple(int(k) for k in key), ({}, {}))
+                part = x * np.array([w.get(int(u), 0.0) for u in used])
+                s = np.clip(part.sum(axis=1), -30, 30)
+                out.append(pd.DataFrame({**dict(zip(_MODEL, key)), "c": -1, "score": np.round(s * 1e6).astype(np.int64), "n": b["n"].to_numpy()[at], "r": b["r"].to_numpy()[at]}))
+                if key[1] != n_columns:
+                    continue
+                ll = lambda z: -a[at] * np.logaddexp(0, -z) - r[at] * np.logaddexp(0, z)
+                for c in range(n_columns):
+                    own = (used >= c * size) & (used < (c + 1) * size)
+                    usual = sum(w.get(f, 0.0) * v for f, v in mean.items() if c * size <= f < (c + 1) * size)
+                    lost = (ll(s) - ll(np.clip(s - part[:, own].sum(axis=1) + usual, -30, 30))).sum()
+                    out.append(pd.DataFrame({**{k: [v] for k, v in zip(_MODEL, key)}, "c": c, "score": 0, "n": [lost], "r": [(a[at] + r[at]).sum()]}))
+            yield pd.concat(out) if out else pd.DataFrame({k: [] for k in [*_MODEL, "c", "score", "n", "r"]})
+
+    return run
 
 
 def load_changes(df: DataFrame, load: str, columns: Sequence[str], row_key: Column | None = None) -> DataFrame:
     """``load_no, column_name, area, departing, ablation_loss, changed`` for every load and column.
 
-    ``row_key`` decides the fold of a row; by default all the columns together.
+    ``row_key`` decides the fold of a row and should be an id; without it rows are told apart by their place in the input.
     """
-    cols = list(columns)
-    key = row_key if row_key is not None else F.struct(*cols)
+    spark, cols = df.sparkSession, list(columns)
+    kind = dict(df.dtypes)[load]
+    key = row_key if row_key is not None else F.monotonically_increasing_id()
+    pats = [f"p_{i}" for i in range(len(cols))]
     rows = df.select(
-        F.col(load).alias("load_no"),
-        F.pmod(F.xxhash64(key, F.lit(11)), F.lit(FOLDS)).cast("int").alias("fold"),
-        *[attribute_pattern(F.col(c)).alias(f"p_{c}") for c in cols],
-    )
-    pats = [f"p_{c}" for c in cols]
-    rows = rows.select("load_no", "fold", *pats)
-    # Per column: the pattern counts. Their number is bounded by the attribute levels, not by the rows.
-    single = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(p).alias("p")) for i, p in enumerate(pats)]))
-    counts = rows.select("load_no", "fold", single.alias("x")).groupBy("load_no", "fold", "x.c", "x.p").agg(F.count("*").alias("n"))
-    # All columns at once, by blank, length and script only (as coarse as the joint table must be to stay bounded).
-    coarse = [F.when(F.col(p) == 0, 0).otherwise(1 + F.pmod(F.floor(F.col(p) / (6 * 16 * 4)), F.lit(32 * 5 * 8))).cast("int") for p in pats]
-    joint = rows.select("load_no", "fold", *[c.alias(p) for c, p in zip(coarse, pats)]).groupBy("load_no", "fold", *pats).agg(F.count("*").alias("n"))
-
-    total = counts.where("c = 0").groupBy("load_no").agg(F.sum("n").alias("total"))
+        F.col(load).alias("load_no"), F.pmod(F.xxhash64(key, F.lit(11)), F.lit(FOLDS)).cast("int").alias("fold"),
+        *[attribute_pattern(F.col(c)).alias(p) for c, p in zip(cols, pats)],
+    )
+    counts = materialize(rows.groupBy("load_no", "fold", *pats).agg(F.count("*").alias("n")), "profile-patterns")
     # One number per load comes to the driver.
-    numbers = [r[0] for r in total.select("load_no").collect()]
-    kind = dict(df.dtypes)[load]
-    if len(numbers) < 3:
-        empty = f"load_no {kind}, column_name string, area double, departing double, ablation_loss double, changed boolean"
-        return df.sparkSession.createDataFrame([], empty)
-    each_load = F.explode(F.array(*[F.lit(x).cast(kind) for x in numbers])).alias("load_no")
-    share = counts.groupBy("load_no", "c", "p").agg(F.sum("n").alias("n")).join(total, total.load_no.eqNullSafe(counts.load_no)).drop(total.load_no)
-    # A pattern that a load lacks has share 0 there: pad the list of shares with zeros before the median.
-    med = share.groupBy("c", "p").agg(F.sort_array(F.collect_list(F.col("n") / F.col("total")), asc=False).alias("s"))
-    med = med.select("c", "p", F.coalesce(F.get("s", F.lit(len(numbers) // 2)), F.lit(0.0)).alias("share")).where("share > 0")
-
-    def one_load(key: tuple, left: pd.DataFrame) -> pd.DataFrame:
-        out = []
+    loads = [r[0] for r in counts.select("load_no").distinct().collect()]
+    schema = f"load_no {kind}, column_name string, area double, departing double, ablation_loss double, changed boolean"
+    if len(loads) < 3:
+        return spark.createDataFrame([], schema)
+    out = None
+    for at in range(0, len(loads), LOADS_AT_ONCE):
+        some = _changes(counts, loads, loads[at : at + LOADS_AT_ONCE], cols, pats, kind)
+        out = some if out is None else out.unionByName(some)
+    return out
+
+
+def _changes(counts: DataFrame, loads: list, wanted: list, cols: list[str], pats: list[str], kind: str) -> DataFrame:
+    spark = counts.sparkSession
+    k = len(cols)
+    # One row for each load, of which there are at most LOADS_AT_ONCE.
+    numbered = F.broadcast(spark.createDataFrame([(x, i) for i, x in enumerate(wanted)], f"load_no {kind}, li int"))
+    mine = counts.join(numbered, counts.load_no.eqNullSafe(numbered.load_no)).drop(numbered.load_no)
+
+    # each column alone against the median load; a pattern that a load lacks has share 0 there
+    single = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(p).alias("p")) for i, p in enumerate(pats)])).alias("x")
+    alone = counts.select("load_no", "fold", "n", single).groupBy("load_no", "fold", "x.c", "x.p").agg(F.sum("n").alias("n"))
+    total = counts.groupBy(F.col("load_no").alias("_l"), F.col("fold").alias("_f")).agg(F.sum("n").alias("total"))
+    share = alone.join(F.broadcast(total) if len(loads) <= 10_000 else total, F.col("load_no").eqNullSafe(F.col("_l")) & (F.col("fold") == F.col("_f")))
+    med = share.groupBy("fold", "c", "p").agg(F.sort_array(F.collect_list(F.col("n") / F.col("total")), asc=False).alias("s"))  # a number for each load
+    med = med.select("fold", "c", "p", F.get("s", F.lit(len(loads) // 2)).alias("r")).where("r > 0")
+    each = F.explode(F.sequence(F.lit(0), F.lit(len(wanted) - 1))).alias("li")
+    codes = F.coalesce(*[F.when(F.col("c") == i, F.array(*[F.col("p") if j == i else F.lit(-1) for j in range(k)])) for i in range(k)])
+    own = mine.select("li", "fold", "n", single).groupBy("li", "fold", "x.c", "x.p").agg(F.sum("n").cast("double").alias("n"))
+    t1 = own.withColumn("r", F.lit(0.0)).unionByName(med.select(each, "fold", "c", "p", F.lit(0.0).alias("n"), "r"))
+    t1 = t1.groupBy("li", "fold", "c", "p").agg(F.sum("n").alias("n"), F.sum("r").alias("r")).select("li", F.col("c").alias("m"), "fold", codes.alias("codes"), "n", "r")
+
+    # all columns at once against all rows, by fewer attributes, so that the joint patterns stay few
+    def joint(p: str) -> Column:
+        rest, scale, kept = F.col(p), 1, F.lit(0)
+        for i in range(len(_LEVELS) - 1, -1, -1):
+            if i in (0, *_JOINT):
+                kept = kept + F.pmod(F.floor(rest / scale), F.lit(_LEVELS[i])) * scale
+            scale *= _LEVELS[i]
+        return F.when(rest == 0, 0).otherwise(kept).cast("int")
+
+    both = F.array(*[joint(p) for p in pats]).alias("codes")
+    own = mine.select("li", "fold", "n", both).groupBy("li", "fold", "codes").agg(F.sum("n").cast("double").alias("n")).withColumn("r", F.lit(0.0))
+    everything = counts.select("fold", "n", both).groupBy("fold", "codes").agg(F.sum("n").cast("double").alias("r"))
+    t2 = own.unionByName(everything.select(each, "fold", "codes", F.lit(0.0).alias("n"), "r"))
+    t2 = t2.groupBy("li", "fold", "codes").agg(F.sum("n").alias("n"), F.sum("r").alias("r")).select("li", F.lit(k).alias("m"), "fold", "codes", "n", "r")
+
+    # A pattern of one fold serves to fit the models that are held against the other ones.
+    held = materialize(t1.unionByName(t2), "profile-held")
+    fit = held.select("li", "m", F.explode(F.array(*[F.lit(f) for f in range(FOLDS)])).alias("held"), "fold", "codes", "n", "r").where("held <> fold").drop("fold").withColumnRenamed("held", "fold")
+
+    def with_totals(x: DataFrame) -> DataFrame:
+        t = x.groupBy(*_MODEL).agg(F.sum("n").alias("n_all"), F.sum("r").alias("r_all"))
+        return x.join(F.broadcast(t), _MODEL)  # a row for each model
+
+    spread = F.pmod(F.xxhash64("codes"), F.lit(4))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fit = materialize(with_totals(fit).repartition(parts, *_MODEL, spread).sortWithinPartitions(*_MODEL), "profile-fit")
+    models = fit_logistic(fit)
+    cells = with_totals(held).mapInPandas(_scores(models, k), "li int, m int, fold int, c int, score long, n double, r double")
+    cells = cells.groupBy(*_MODEL, "c", "score").agg(F.sum("n").alias("n"), F.sum("r").alias("r"))
+
+    def judge(key: tuple, x: pd.DataFrame) -> pd.DataFrame:
+        li = key[0]
+        res = []
         for i, c in enumerate(cols):
-            mine = left[(left["c"] == i) & (left["kind"] == 0)].rename(columns={"p": f"p_{c}"})
-            ref = left[(left["c"] == i) & (left["kind"] == 1)].rename(columns={"p": f"p_{c}"})
-            if not len(ref):
-                continue
-            a, se = _discriminate(mine, ref, cols, [c])
-            out.append((c, a, se))
-        res = pd.DataFrame(out, columns=["column_name", "area", "se"])
-        return res.assign(load_no=key[0])[["load_no", "column_name", "area", "se"]]
-
-    tagged = counts.select("load_no", "fold", "c", "p", F.col("n").cast("double").alias("n"), F.lit(0.0).alias("share"), F.lit(0).alias("kind"))
-    refs = med.select(each_load, F.lit(0).alias("fold"), "c", "p", F.lit(0.0).alias("n"), "share", F.lit(1).alias("kind"))
-    alone = tagged.unionByName(refs).groupBy("load_no").applyInPandas(one_load, f"load_no {kind}, column_name string, area double, se double")
-
-    # ablation on the joint patterns, against all other loads' rows
-    jt = joint.groupBy(*pats).agg(F.sum("n").alias("all_n"))
-
-    def ablate(key: tuple, left: pd.DataFrame) -> pd.DataFrame:
-        ref = left[left["kind"] == 1].rename(columns={"n": "share"})[[*pats, "share"]]
-        mine = left[left["kind"] == 0]
-        full, _ = _discriminate(mine, ref, cols, cols)
-        out = [(c, full - _discriminate(mine, ref, cols, [x for x in cols if x != c])[0] if len(cols) > 1 else full - 0.5) for c in cols]
-        return pd.DataFrame(out, columns=["column_name", "ablation_loss"]).assign(load_no=key[0])[["load_no", "column_name", "ablation_loss"]]
-
-    own = joint.select("load_no", "fold", *pats, F.col("n").cast("double").alias("n"), F.lit(0).alias("kind"))
-    rest = jt.select(each_load, F.lit(0).alias("fold"), *pats, F.col("all_n").cast("double").alias("n"), F.lit(1).alias("kind"))
-    abl = own.unionByName(rest).groupBy("load_no").applyInPandas(ablate, f"load_no {kind}, column_name string, ablation_loss double")
-
-    a, b = alone.alias("a"), abl.alias("b")
-    j = a.join(b, F.col("a.load_no").eqNullSafe(F.col("b.load_no")) & (F.col("a.column_name") == F.col("b.column_name")))
-    departing = 2 * F.col("area") - 1
-    return j.select(
-        F.col("a.load_no").alias("load_no"), F.col("a.column_name").alias("column_name"), "area", departing.alias("departing"), "ablation_loss",
-        ((departing >= DEPART) & ((F.col("area") - 0.5) >= SIGNIFICANT * F.col("se"))).alias("changed"),
-    )
+            mine, aucs, sizes = x[(x["m"] == i) & (x["c"] == -1)], [], []
+            for _, y in mine.groupby("fold"):
+                if y["n"].sum() > 0 and y["r"].sum() > 0:
+                    aucs.append(area(y["score"].to_numpy(), y["n"].to_numpy(), y["r"].to_numpy()))
+                    sizes.append(y["n"].sum())
+            lost = x[x["c"] == i]
+            a = float(np.average(aucs, weights=sizes)) if aucs else 0.5
+            loss = float(lost["n"].sum() / max(lost["r"].sum(), 1e-9))
+            se = 1.5 * float(np.sqrt(1 / (12 * max(sum(sizes), 1))))
+            res.append((int(li), c, a, 2 * a - 1, loss, bool(2 * a - 1 >= DEPART and a - 0.5 >= SIGNIFICANT * se and loss >= ABLATION)))
+        return pd.DataFrame(res, columns=["li", "column_name", "area", "departing", "ablation_loss", "changed"])
+
+    judged = cells.groupBy("li").applyInPandas(judge, "li int, column_name string, area double, departing double, ablation_loss double, changed boolean")
+    return judged.join(numbered, "li").select("load_no", "column_name", "area", "departing", "ablation_loss", "changed")

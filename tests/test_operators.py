@@ -215,3 +215,20 @@ def test_profile(spark):
     p = {(r.load_no, r.column_name): r for r in profile.column_profile(df, "load_no", ["english", "pos"], {"english": "^W"}).collect()}
     assert p[(3, "english")].n_blank == 150 and p[(1, "pos")].most_repeated == 300 and p[(1, "english")].n_violations == 0
     assert profile.load_changes(df.limit(0), "load_no", ["english"]).count() == 0
+
+
+def test_load_blank_or_repeated_in_all_columns(spark):
+    from termloom.operators import profile
+
+    base = [(n, "Word %d" % (i * 7 % 90), "noun" if i % 3 else "verb") for n in range(1, 7) for i in range(200)]
+    for one in ((None, None), ("", ""), ("same words here", "conj")):
+        rows = [(n, e, p) if n != 4 else (n, *one) for n, e, p in base]
+        df = spark.createDataFrame(rows, "load_no int, english string, pos string")
+        got = profile.load_changes(df, "load_no", ["english", "pos"]).where("changed").collect()
+        assert {(r.load_no, r.column_name) for r in got} == {(4, "english"), (4, "pos")}
+    # the classifier decides: without a fit nothing is told apart
+    keep, profile.fit_logistic = profile.fit_logistic, lambda *a: {}
+    try:
+        assert profile.load_changes(df, "load_no", ["english", "pos"]).where("changed").count() == 0
+    finally:
+        profile.fit_logistic = keep
