@@ -5,8 +5,10 @@ classifier two-sample test asks, load by load, how well a logistic regression
 can tell the load's rows from the usual ones: by each column with all others
 ablated, against the median load, and by all columns together, against all rows,
 where each column is then ablated in turn (its part of the score is replaced by
-its mean; the loss is the log-likelihood per row that this costs).  A column
-changed if it discriminates by itself and the model of all columns needs it.
+its mean; the loss is the log-likelihood per row that this costs).  The model of
+all columns is stacked on the others: it reads each column's held-out score in
+``BINS`` bins.  A column changed if it discriminates by itself and the model of
+all columns needs it.
 
 Every row is described by a bounded set of attributes per column (blank, length,
 case, script, words, ending, coding).  Spark counts the rows of each attribute
@@ -41,13 +43,14 @@ FOLDS = 2
 #: Least share of departing rows, and least distance from chance in standard errors, for a report.
 DEPART, SIGNIFICANT = 0.18, 4.0
 #: Least loss of log-likelihood a row when the column is ablated from the model of all columns.
-ABLATION = 0.002
+ABLATION = 0.0005
 RIDGE, ROUNDS, STEP = 1.0, 10, 0.02
 #: Loads that are fitted at a time; their weights are on the driver.
 LOADS_AT_ONCE = 256
 _LEVELS = (2, 8, 5, 32, 6, 16, 4)
-#: Attributes that the joint patterns keep: case, script, coding.
-_JOINT = (2, 3, 6)
+#: Edges of the bins in which the model of all columns reads a column's log-odds.
+EDGES = (-1.0, 0.0, 1.0)
+BINS = len(EDGES) + 1
 
 
 def blank(c: Column) -> Column:
@@ -106,7 +109,7 @@ def attribute_pattern(c: Column) -> Column:
     return F.when(blank(c), F.lit(0)).otherwise(code).cast("int")
 
 
-def _features(codes: np.ndarray) -> np.ndarray:
+def _attributes(codes: np.ndarray) -> np.ndarray:
     """Feature numbers of every attribute of every column, ``rows x (columns * attributes)``; -1 for none.
 
     ``codes`` is ``rows x columns``: -1 for an ablated column, 0 for a blank value, of which only the first attribute counts.
@@ -125,6 +128,11 @@ def _features(codes: np.ndarray) -> np.ndarray:
     return out
 
 
+def _bins(codes: np.ndarray) -> np.ndarray:
+    """Feature numbers of the bins of every column."""
+    return codes + np.arange(codes.shape[1]) * BINS
+
+
 def area(score: np.ndarray, pos: np.ndarray, neg: np.ndarray) -> float:
     """Weighted area under the curve; ties count half."""
     _, inv = np.unique(score, return_inverse=True)
@@ -134,9 +142,9 @@ def area(score: np.ndarray, pos: np.ndarray, neg: np.ndarray) -> float:
     return float((p * (below + n / 2)).sum() / total) if total else 0.5
 
 
-def _design(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _design(codes: np.ndarray, features=_attributes) -> tuple[np.ndarray, np.ndarray]:
     """Indicator matrix with a constant, over the features that occur, and their numbers (the constant is -1)."""
-    f = _features(codes)
+    f = features(codes)
     used = np.unique(f)
     used = used[used >= 0]
     x = np.zeros((len(codes), len(used) + 1))
@@ -157,7 +165,7 @@ def _balanced(b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return b["n"].to_numpy() / np.maximum(b["n_all"].to_numpy(), 1e-9) * half, b["r"].to_numpy() / np.maximum(b["r_all"].to_numpy(), 1e-9) * half
 
 
-def _newton_parts(weights: dict[tuple[int, int, int], dict[int, float]]):
+def _newton_parts(weights: dict[tuple[int, int, int], dict[int, float]], features):
     """Gradient, curvature and mean of the features of each model, over one task's patterns."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -165,7 +173,7 @@ def _newton_parts(weights: dict[tuple[int, int, int], dict[int, float]]):
             out = []
             a, r = _balanced(b)
             for key, at in b.groupby(_MODEL).indices.items():
-                x, used = _design(np.stack(b["codes"].to_numpy()[at]).astype(np.int64))
+                x, used = _design(np.stack(b["codes"].to_numpy()[at]).astype(np.int64), features)
                 known = weights.get(tuple(int(k) for k in key), {})
                 w = np.array([known.get(int(u), 0.0) for u in used])
                 p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -190,7 +198,7 @@ def _newton_step(parts: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({**key, "used": [used], "g": [g], "h": [h.ravel()], "mean": [mean / max(mean[0], 1e-9)]})
 
 
-def fit_logistic(patterns: DataFrame, rounds: int = ROUNDS, ridge: float = RIDGE) -> dict[tuple[int, int, int], tuple[dict[int, float], dict[int, float]]]:
+def fit_logistic(patterns: DataFrame, features=_attributes, rounds: int = ROUNDS, ridge: float = RIDGE) -> dict[tuple[int, int, int], tuple[dict[int, float], dict[int, float]]]:
     """Weights and feature means of all models ``(li, m, fold)``, fitted together on ``codes`` with ``n, r, n_all, r_all``."""
     weights: dict[tuple[int, int, int], dict[int, float]] = {}
     means: dict[tuple[int, int, int], dict[int, float]] = {}
@@ -205,7 +213,7 @@ def fit_logistic(patterns: DataFrame, rounds: int = ROUNDS, ridge: float = RIDGE
 
     n = int(patterns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for _ in range(rounds):
-        parts = patterns.mapInPandas(_newton_parts(dict(weights)), _PART).repartition(n, *_MODEL)
+        parts = patterns.mapInPandas(_newton_parts(dict(weights), features), _PART).repartition(n, *_MODEL)
         new = parts.groupBy(*_MODEL).applyInPandas(solve, _PART).collect()  # some hundreds of numbers a model
         for x in new:
             key = (x.li, x.m, x.fold)
@@ -216,21 +224,20 @@ def fit_logistic(patterns: DataFrame, rounds: int = ROUNDS, ridge: float = RIDGE
     return {k: (w, means[k]) for k, w in weights.items()}
 
 
-def _scores(models: dict, n_columns: int):
-    """Held-out patterns scored by the model of the other folds, and what ablating each column costs the model of all."""
-    size = sum(_LEVELS)
+def _scores(models: dict, n_columns: int, features=_attributes, size: int = 0):
+    """Held-out patterns scored by the model of the other folds; with ``size`` features a column, what ablating each column costs."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             a, r = _balanced(b)
             for key, at in b.groupby(_MODEL).indices.items():
-                x, used = _design(np.stack(b["codes"].to_numpy()[at]).astype(np.int64))
+                x, used = _design(np.stack(b["codes"].to_numpy()[at]).astype(np.int64), features)
                 w, mean = models.get(tuple(int(k) for k in key), ({}, {}))
                 part = x * np.array([w.get(int(u), 0.0) for u in used])
                 s = np.clip(part.sum(axis=1), -30, 30)
-                out.append(pd.DataFrame({**dict(zip(_MODEL, key)), "c": -1, "score": np.round(s * 1e6).astype(np.int64), "n": b["n"].to_numpy()[at], "r": b["r"].to_numpy()[at]}))
-                if key[1] != n_columns:
+                if not size:
+                    out.append(pd.DataFrame({**dict(zip(_MODEL, key)), "c": -1, "score": np.round(s * 1e6).astype(np.int64), "n": b["n"].to_numpy()[at], "r": b["r"].to_numpy()[at]}))
                     continue
                 ll = lambda z: -a[at] * np.logaddexp(0, -z) - r[at] * np.logaddexp(0, z)
                 for c in range(n_columns):
@@ -243,6 +250,30 @@ def _scores(models: dict, n_columns: int):
     return run
 
 
+def _stacked(models: dict, pats: list[str], n_loads: int):
+    """Every row's bins under each load's models of single columns: ``li, fold, code`` with the rows of the load (``n``) and of all loads (``r``)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for fold, x in b.groupby("fold"):
+                code = np.zeros((len(x), n_loads), dtype=np.int64)
+                for c, p in enumerate(pats):
+                    seen, inv = np.unique(x[p].to_numpy(), return_inverse=True)
+                    codes = np.full((len(seen), len(pats)), -1, dtype=np.int64)
+                    codes[:, c] = seen
+                    d, used = _design(codes)
+                    w = np.array([[models.get((li, c, fold), ({}, {}))[0].get(int(u), 0.0) for li in range(n_loads)] for u in used])
+                    code = code * BINS + np.digitize(d @ w, EDGES)[inv]
+                li, n = x["li"].to_numpy(), x["n"].to_numpy(float)
+                for i in range(n_loads):
+                    seen, inv = np.unique(code[:, i], return_inverse=True)
+                    out.append(pd.DataFrame({"li": i, "fold": fold, "code": seen, "n": np.bincount(inv, n * (li == i), len(seen)), "r": np.bincount(inv, n, len(seen))}))
+            yield pd.concat(out) if out else pd.DataFrame({k: [] for k in ("li", "fold", "code", "n", "r")})
+
+    return run
+
+
 def load_changes(df: DataFrame, load: str, columns: Sequence[str], row_key: Column | None = None) -> DataFrame:
     """``load_no, column_name, area, departing, ablation_loss, changed`` for every load and column.
 
@@ -289,35 +320,33 @@ def _changes(counts: DataFrame, loads: list, wanted: list, cols: list[str], pats
     t1 = own.withColumn("r", F.lit(0.0)).unionByName(med.select(each, "fold", "c", "p", F.lit(0.0).alias("n"), "r"))
     t1 = t1.groupBy("li", "fold", "c", "p").agg(F.sum("n").alias("n"), F.sum("r").alias("r")).select("li", F.col("c").alias("m"), "fold", codes.alias("codes"), "n", "r")
 
-    # all columns at once against all rows, by fewer attributes, so that the joint patterns stay few
-    def joint(p: str) -> Column:
-        rest, scale, kept = F.col(p), 1, F.lit(0)
-        for i in range(len(_LEVELS) - 1, -1, -1):
-            if i in (0, *_JOINT):
-                kept = kept + F.pmod(F.floor(rest / scale), F.lit(_LEVELS[i])) * scale
-            scale *= _LEVELS[i]
-        return F.when(rest == 0, 0).otherwise(kept).cast("int")
-
-    both = F.array(*[joint(p) for p in pats]).alias("codes")
-    own = mine.select("li", "fold", "n", both).groupBy("li", "fold", "codes").agg(F.sum("n").cast("double").alias("n")).withColumn("r", F.lit(0.0))
-    everything = counts.select("fold", "n", both).groupBy("fold", "codes").agg(F.sum("n").cast("double").alias("r"))
-    t2 = own.unionByName(everything.select(each, "fold", "codes", F.lit(0.0).alias("n"), "r"))
-    t2 = t2.groupBy("li", "fold", "codes").agg(F.sum("n").alias("n"), F.sum("r").alias("r")).select("li", F.lit(k).alias("m"), "fold", "codes", "n", "r")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    # A pattern of one fold serves to fit the models that are held against the other ones.
-    held = materialize(t1.unionByName(t2), "profile-held")
-    fit = held.select("li", "m", F.explode(F.array(*[F.lit(f) for f in range(FOLDS)])).alias("held"), "fold", "codes", "n", "r").where("held <> fold").drop("fold").withColumnRenamed("held", "fold")
+    def to_fit(held: DataFrame, label: str) -> DataFrame:
+        # A pattern of one fold serves to fit the models that are held against the other ones.
+        others = F.explode(F.array(*[F.lit(f) for f in range(FOLDS)])).alias("held")
+        x = held.select("li", "m", others, "fold", "codes", "n", "r").where("held <> fold").drop("fold").withColumnRenamed("held", "fold")
+        spread = F.pmod(F.xxhash64("codes"), F.lit(4))
+        return materialize(with_totals(x).repartition(parts, *_MODEL, spread).sortWithinPartitions(*_MODEL), label)
 
     def with_totals(x: DataFrame) -> DataFrame:
         t = x.groupBy(*_MODEL).agg(F.sum("n").alias("n_all"), F.sum("r").alias("r_all"))
         return x.join(F.broadcast(t), _MODEL)  # a row for each model
 
-    spread = F.pmod(F.xxhash64("codes"), F.lit(4))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    fit = materialize(with_totals(fit).repartition(parts, *_MODEL, spread).sortWithinPartitions(*_MODEL), "profile-fit")
-    models = fit_logistic(fit)
-    cells = with_totals(held).mapInPandas(_scores(models, k), "li int, m int, fold int, c int, score long, n double, r double")
-    cells = cells.groupBy(*_MODEL, "c", "score").agg(F.sum("n").alias("n"), F.sum("r").alias("r"))
+    schema = "li int, m int, fold int, c int, score long, n double, r double"
+    held = materialize(t1, "profile-held")
+    models = fit_logistic(to_fit(held, "profile-fit"))
+    alone = with_totals(held).mapInPandas(_scores(models, k), schema)
+
+    # all columns at once against all rows, by the bins of their held-out scores
+    rows = counts.join(numbered, counts.load_no.eqNullSafe(numbered.load_no), "left").select("fold", *pats, "n", F.coalesce("li", F.lit(-1)).alias("li"))
+    bins = rows.mapInPandas(_stacked(models, pats, len(wanted)), "li int, fold int, code long, n double, r double")
+    digits = F.array(*[F.pmod(F.floor(F.col("code") / BINS ** (k - 1 - i)), F.lit(BINS)).cast("int") for i in range(k)])
+    bins = bins.groupBy("li", "fold", "code").agg(F.sum("n").alias("n"), F.sum("r").alias("r")).select("li", F.lit(k).alias("m"), "fold", digits.alias("codes"), "n", "r")
+    held = materialize(bins, "profile-bins")
+    models = fit_logistic(to_fit(held, "profile-fit-all"), _bins)
+    together = with_totals(held).mapInPandas(_scores(models, k, _bins, BINS), schema)
+    cells = alone.unionByName(together).groupBy(*_MODEL, "c", "score").agg(F.sum("n").alias("n"), F.sum("r").alias("r"))
 
     def judge(key: tuple, x: pd.DataFrame) -> pd.DataFrame:
         li = key[0]
