@@ -87,6 +87,12 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.Blend(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets")).shares()
 
 
+def p9_whole_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and reached shares of a blend as large as the sources allow: those that run out fall short."""
+    docs, targets = table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets")
+    return mixing.Blend(docs, targets, total_tokens=2**62).shares()
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.Residue(table(spark, sf_dir, "documents")).found()
 
@@ -114,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p8_leaks": p8_leaks,
     "p9_blend": p9_blend,
     "p9_shares": p9_shares,
+    "p9_whole_shares": p9_whole_shares,
     "p10_found": p10_found,
     "p10_kept": p10_kept,
 }

@@ -310,16 +310,33 @@ def test_blend(spark):
     docs += [(6000 + i, "b", docs[1][2]) for i in range(5)]
     df = spark.createDataFrame(docs, "doc_id long, source string, text string")
     t = spark.createDataFrame([("a", 0.5, 2), ("b", 0.3, 1), ("c", 0.2, 1), ("none", None, 2)], "source string, target_share double, max_repeats int")
-    b = mixing.Blend(df, t, block=500)
+    b = mixing.Blend(df, t)
     s = {x.source: x for x in b.shares().collect()}
     for k, share in (("a", 0.5), ("b", 0.3), ("c", 0.2)):
-        assert abs(s[k].actual_share - share) < 0.02 and s[k].most_uses <= s[k].max_repeats
+        assert abs(s[k].actual_share - share) < 0.003 and s[k].most_uses <= s[k].max_repeats
     assert s["none"].tokens == 0
-    used = Counter(x.doc_id for x in b.rows.collect())
-    assert not {6000 + i for i in range(5)} & set(used) and not {5000, 5001, 5002} & set(used)
+    rows = b.rows.collect()
+    used = Counter((x.doc_id, x["pass"], i) for x in rows for i in range(x.from_token, x.from_token + x.tokens))
+    assert max(used.values()) == 1  # every token once a pass
+    assert not ({6000 + i for i in range(5)} | {5000, 5001, 5002}) & {k[0] for k in used}
+    by_slot = Counter()
+    for x in rows:
+        by_slot[x.slot] += x.tokens
+    assert set(by_slot.values()) == {b.block} and len(by_slot) == b.n_slots
+    # the schedule decides: any stretch of the blend is close to the targets
+    first = Counter(x.source for x in rows if x.slot < b.n_slots // 8)
+    assert abs(first["a"] / sum(first.values()) - 0.5) < 0.05
+    # more than the shares allow: what runs out falls short, the rest keep their proportions
+    big = {x.source: x for x in mixing.Blend(df, t, total_tokens=10**9).shares().collect()}
+    assert all(big[k].most_uses <= big[k].max_repeats for k in "abc") and sum(x.tokens for x in big.values()) > 1.2 * sum(x.tokens for x in s.values())
     assert mixing.Blend(df.limit(0), t).rows.count() == 0
 
 
+def test_allocation():
+    got = mixing.allocation(np.array([0.5, 0.3, 0.2, 0.0]), np.array([10.0, 100.0, 100.0, 5.0]), 60)
+    assert got.tolist() == [10, 30, 20, 0]
+
+
 # --- residue ---------------------------------------------------------------------------------
 
 
