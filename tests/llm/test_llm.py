@@ -248,10 +248,10 @@ def test_copied_votes_count_less(spark):
         true = g % 4 != 0
         bad = f"wrong{g}"
         for s in ("x", "y"):  # y copies x, mistakes too
-            rows.append((g, "f", g, s, "right" if true else bad, 1, True))
+            rows.append((g, "f", g, s, "right" if true else bad, 1, 3.0))
         for s in ("p", "q", "w"):
-            rows.append((g, "f", g, s, "right" if r.random() < 0.9 else f"{s}{g}", 1, True))
-    df = spark.createDataFrame(rows, "group_row long, field_name string, pos long, source string, value string, score int, usable boolean")
+            rows.append((g, "f", g, s, "right" if r.random() < 0.9 else f"{s}{g}", 1, 3.0))
+    df = spark.createDataFrame(rows, "group_row long, field_name string, pos long, source string, value string, score int, evidence double")
     post, acc, dep = fusion.fuse(df)
     p = {(min(d.source, d.t), max(d.source, d.t)): d.p_copy for d in dep.collect()}
     assert p[("x", "y")] > 0.9 and max(v for k, v in p.items() if k != ("x", "y")) < 0.5
@@ -259,6 +259,34 @@ def test_copied_votes_count_less(spark):
     assert a["p"] > a["x"]
 
 
+def test_votes_decide_what_is_credible(spark):
+    # x and y copy one another, mistakes too; p, q and w are independent
+    rows, members, n = [], [], 0
+    for g in range(60):
+        cases = {"x": f"Text {g}.", "y": f"Text {g}.", "p": f"Text {g}.", "q": f"Text {g}.", "w": f"Text {g}."}
+        if g < 12:
+            cases |= {"x": f"Wrong {g} and cu", "y": f"Wrong {g} and cu"}
+        if g == 50:
+            cases |= {"x": "A long text that two copies give without an end", "y": "A long text that two copies give without an end"}
+        if g == 51:
+            cases |= {"p": "A long text that two others give without an end", "q": "A long text that two others give without an end"}
+        for s, t in cases.items():
+            rows.append((n, t, "2010", s))
+            members.append((n, g * 5))
+            n += 1
+    df = spark.createDataFrame(rows, "pos_ord long, definition string, year string, source string")
+    m = spark.createDataFrame(members, "pos long, group_row long")
+    reg = spark.createDataFrame([], "source string, trust_rank int")
+    best = lambda: {r.group_row: rows[r.best_row][1] for r in fusion.survivors(df, m, reg).where("field_name = 'definition'").collect()}
+    got = best()
+    assert got[51 * 5].startswith("A long") and not got[50 * 5].startswith("A long")
+    keep, fusion.COPY_RATE = fusion.COPY_RATE, 0.0
+    try:
+        assert best()[50 * 5].startswith("A long")  # without copy detection the copied votes are believed
+    finally:
+        fusion.COPY_RATE = keep
+
+
 # --- leaks -----------------------------------------------------------------------------------
 
 
