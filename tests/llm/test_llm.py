@@ -212,7 +212,7 @@ def test_damage(text, damaged):
 
 def test_rejoin_and_repair(spark):
     assert ocr.rejoin("ភាព-\r\nល្អ។\n- 12 -\nថ្មី។") == "ភាពល្អ។ ថ្មី។"
-    assert ocr.rejoin("ភា\nទំព័រ ៨៦\nពល្អ។") == "ភាពល្អ។"
+    assert ocr.rejoin("ភា\nទំព័រ ៨៦\nពល្អ។") == "ភាពល្អ។" and ocr.rejoin("One.\nTwo.") == "One.\nTwo."
     good = "the lateral channel register covers further cases"
     rows = [(i, None, good) for i in range(20)] + [(50, None, "the 1ateral channe1 covers"), (51, None, "the lateral channcl register"), (52, None, None), (53, "ភាពល្អ", "ok")]
     t = ocr.ScannedText(spark.createDataFrame(rows, "pos_ord long, khmer string, definition string"))
@@ -439,3 +439,30 @@ def test_misreading_that_recurs(spark):
     t = ocr.ScannedText(spark.createDataFrame(rows, "pos_ord long, khmer string, definition string"))
     assert {r.pos for r in t.found().collect()} == {1000 + i for i in range(5)}
     assert {r.repaired for r in t.repaired().collect()} == {"the lateral channel register"}
+
+
+def test_index_decides_what_is_misread(spark):
+    good = "the lateral channel register covers further cases"
+    r = random.Random(14)
+    rows = [(i, None, good) for i in range(60)]
+    rows += [(100 + i, None, "the mp3x register covers cases") for i in range(20)]  # odd, but the corpus attests it
+    rows += [(200, None, "the 1ateral channe1"), (201, None, "the lateral channcl register"), (202, None, "channcl")]
+    khmer = [word(r, 9) for _ in range(12)]
+    rows += [(300 + i, k + "។", None) for i, k in enumerate(khmer * 3)]
+    broken = khmer[0][:10] + "§" + khmer[0][11:]
+    rows += [(400, broken + "។", None), (401, "x" * 60 + " " + khmer[1] * 40, None)]
+    df = spark.createDataFrame(rows, "pos_ord long, khmer string, definition string")
+    t = ocr.ScannedText(df)
+    assert {(x.pos, x.field_name) for x in t.found().collect()} == {(200, "definition"), (201, "definition"), (202, "definition"), (400, "khmer")}
+    fixed = {x.pos: x.repaired for x in t.repaired().collect()}
+    assert fixed[400] == khmer[0] + "។" and fixed[200] == "the lateral channel" and fixed[201] == "the lateral channel register"
+    keep, ocr.CHEAP = ocr.CHEAP, -1.0  # no candidate of the index is near enough
+    try:
+        assert {x.pos for x in ocr.ScannedText(df).found().collect()} == {200, 400}
+    finally:
+        ocr.CHEAP = keep
+    keep, ocr.SEND_KEYS = ocr.SEND_KEYS, -1  # the joined path
+    try:
+        assert {x.pos: x.repaired for x in ocr.ScannedText(df).repaired().collect()} == fixed
+    finally:
+        ocr.SEND_KEYS = keep
