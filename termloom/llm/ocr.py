@@ -290,7 +290,8 @@ class ScannedText:
         fits = F.when(F.col("kind") == "odd", F.col("freq") > F.col("seen_freq")).otherwise(
             (F.col("freq") >= F.col("seen_freq") * RARE_RATIO) & (F.col("freq") >= CERTAIN_RATE * n)
         )
-        meet = a.join(b, "key").where(fits).select("seen", "seen_freq", "kind", "word", "freq").distinct()
+        # the planner takes the keys for as small as the words: not to be sent to every task
+        meet = a.hint("merge").join(b, "key").where(fits).select("seen", "seen_freq", "kind", "word", "freq").distinct()
 
         def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for x in batches:
@@ -314,15 +315,15 @@ class ScannedText:
                 yield pd.DataFrame([(x, y, n) for (x, y), n in c.items()], columns=["w1", "w2", "n"]).astype({"w1": str, "w2": str, "n": "int64"})
 
         pairs = self.values.where(F.col("text").rlike("[A-Za-z]")).select("text").mapInPandas(run, "w1 string, w2 string, n long")
-        return pairs.join(wanted.distinct(), ["w1", "w2"], "left_semi").groupBy("w1", "w2").agg(F.sum("n").alias("n"))
+        return pairs.groupBy("w1", "w2").agg(F.sum("n").alias("n")).join(wanted.distinct(), ["w1", "w2"], "left_semi").groupBy("w1", "w2").agg(F.sum("n").alias("n"))
 
     def choices(self, words: DataFrame) -> DataFrame:
         """The given occurrences (``seen, prev, next`` and others) with the best repair: ``repair, cost, own, support``."""
         keys = [c for c in words.columns if c not in ("prev", "next")]
-        c = words.join(self.corrections().select("seen", "repair", "cost", "freq", "kind"), "seen")
+        c = materialize(words.join(self.corrections().select("seen", "repair", "cost", "freq", "kind"), "seen"), "ocr-choices")
         pair = lambda a, b: c.select(F.col(a).alias("w1"), F.col(b).alias("w2")).where("w1 is not null and w2 is not null")
         wanted = pair("prev", "repair").unionByName(pair("repair", "next")).unionByName(pair("prev", "seen")).unionByName(pair("seen", "next"))
-        n = self.bigrams(wanted)
+        n = materialize(self.bigrams(wanted), "ocr-bigrams")
         for a, b, name in (("prev", "repair", "n1"), ("repair", "next", "n2"), ("prev", "seen", "n3"), ("seen", "next", "n4")):
             c = c.join(n.toDF(a, b, name), [a, b], "left")
         zero = F.lit(0)
@@ -440,7 +441,7 @@ class ScannedText:
         wrong = latin.unionByName(khmer).distinct().withColumn("misread", F.lit(True))
         s = self.suspects().join(wrong, ["pos", "field_name"], "left")
         s = s.select("pos", "field_name", "text", "layout", (F.col("odd") & F.coalesce("misread", F.lit(False))).alias("odd"), F.lit(False).alias("confused"))
-        s = s.where("layout or odd")
+        s = materialize(s.where("layout or odd"), "ocr-damaged")
         # a rare word that is one cheap confusion away from a frequent one, in a place where that fits as well
         fix = self.corrections().where("kind = 'rare'").select("seen").distinct()
         plain = self.values.where(F.col("text").rlike("[a-z]{4}"))
