@@ -6,7 +6,9 @@ points, half-open.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import unicodedata
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chars
@@ -90,9 +92,9 @@ def canonical_marks(text: Column) -> Column:
         return F.concat(F.substring(syllable, 1, 1), F.array_join(parts, ""))
 
     whole = F.array_join(
-        F.transform(F.regexp_extract_all(text, F.lit(_SYLLABLE), F.lit(1)), lambda s: F.when(F.length(s) > 2, ordered(s)).otherwise(s)), ""
+        F.transform(F.regexp_extract_all(text, F.lit(_SYLLABLE), F.lit(1)), lambda s: F.call_function("if", s.rlike("(?s)^.{3}"), ordered(s), s)), ""
     )
-    return F.when(text.rlike("[\\u17B6-\\u17D2\\u17DD]{2}"), whole).otherwise(text)
+    return F.call_function("if", text.rlike("[\\u17B6-\\u17D2\\u17DD]{2}"), whole, text)
 
 
 def has_khmer(text: Column) -> Column:
@@ -105,29 +107,41 @@ def repair_script(text: Column, table: dict[str, str] | None = None) -> Column:
     return F.translate(text, "".join(t), "".join(t.values()))
 
 
+# Why a character does not belong.
+WRONG_SCRIPT, LOOKS_ALIKE, ELSEWHERE, LATIN = (
+    "same letter, wrong script", "UTS #39 visual confusable", "outside Khmer, Latin and shared punctuation", "Latin in a Khmer-only field",
+)
+
+
+def character_name(char: Column) -> Column:
+    """Unicode name of a character; its code point where it has none."""
+    code = F.concat(F.lit("U+"), F.lpad(F.hex(F.ascii(char)), 4, "0"))
+    return F.coalesce(F.java_method(F.lit("java.lang.Character"), F.lit("getName"), F.ascii(char)), code)
+
+
 def contaminants(text: Column, allow_latin: bool = True) -> Column:
     """Characters that do not belong in Khmer text: ``array<struct<index, char, name, reason, suggest>>``.
 
-    ``allow_latin=False`` also reports ASCII letters and digits.
+    ``allow_latin=False`` also reports ASCII letters and digits.  ``suggest`` is
+    ``''`` where nothing is known.
     """
-    same, drawn = chars.SAME_LETTER, chars.DRAWN_ALIKE
     shared = "\\u1780-\\u17FF" + chars.SHARED_PUNCTUATION
     wrong = f"[^\\x00-\\x7F{shared}]" if allow_latin else f"[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F{shared}]"
-    table = chars.repair_table()
-    pairs = F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
-    names = F.create_map(*[F.lit(x) for c in table for x in (c, chars.character_name(c))])
+    pairs = F.create_map(*[F.lit(x) for kv in chars.repair_table().items() for x in kv])
 
-    def describe(c: Column, i: Column) -> Column:
-        code = F.concat(F.lit("U+"), F.lpad(F.hex(F.ascii(c)), 4, "0"))
+    def describe(x: Column) -> Column:
+        c = x["char"]
         reason = (
-            F.when(c.isin(list(same)), "same letter, wrong script").when(c.isin(list(drawn)), "drawn alike").otherwise("outside the expected range")
-        )
-        return F.struct(
-            i.cast("long").alias("index"), c.alias("char"), F.coalesce(names[c], code).alias("name"), reason.alias("reason"), pairs[c].alias("suggest")
-        )
+            F.when(c.rlike("^[\\x00-\\x7F]$"), LATIN).when(c.isin(list(chars.SAME_LETTER)), WRONG_SCRIPT)
+            .when(c.isin(list(chars.DRAWN_ALIKE)), LOOKS_ALIKE).otherwise(ELSEWHERE)
+        )
+        return F.struct(x["index"].alias("index"), c.alias("char"), character_name(c).alias("name"), reason.alias("reason"), F.coalesce(pairs[c], F.lit("")).alias("suggest"))
 
-    found = F.filter(F.transform(F.split(text, ""), describe), lambda x: x["char"].rlike(wrong))
-    return F.when(text.rlike(wrong), found).otherwise(F.filter(found, lambda x: F.lit(False)))
+    # the characters in question first; most texts have none
+    placed = F.transform(F.split(text, ""), lambda c, i: F.struct(i.cast("long").alias("index"), c.alias("char")))
+    found = F.transform(F.filter(placed, lambda x: x["char"].rlike(wrong)), describe)
+    none = F.lit(None).cast("array<struct<index:bigint,char:string,name:string,reason:string,suggest:string>>")
+    return F.when(text.rlike(wrong), found).when(text.isNotNull(), F.coalesce(none, F.array().cast("array<struct<index:bigint,char:string,name:string,reason:string,suggest:string>>")))
 
 
 def fold_latin(text: Column) -> Column:
@@ -200,10 +214,15 @@ def split_item(text: Column) -> Column:
     return F.struct(F.regexp_extract(text, pat, 1).alias("item"), strip(F.regexp_replace(text, pat, "")).alias("rest"))
 
 
+#: Years that a text can mean.
+FIRST_YEAR, LAST_YEAR = 1950, 2049
+
+
 def years(text: Column) -> Column:
     """Years from 1950 to 2049 that stand alone, in Latin or Khmer digits."""
     t = F.translate(F.coalesce(text, F.lit("")), chars.KHMER_DIGITS, "0123456789")
-    return F.transform(F.regexp_extract_all(t, F.lit("(?<!\\d)(19[5-9]\\d|20[0-4]\\d)(?!\\d)"), F.lit(1)), lambda y: y.cast("int"))
+    four = F.transform(F.regexp_extract_all(t, F.lit("(?<!\\d)(\\d{4})(?!\\d)"), F.lit(1)), lambda y: y.cast("int"))
+    return F.filter(four, lambda y: y.between(FIRST_YEAR, LAST_YEAR))
 
 
 def differing_span(a: Column, b: Column) -> Column:
@@ -257,9 +276,32 @@ def strip_code_fences(text: Column) -> Column:
     return strip(F.regexp_replace(strip(text), "^```[A-Za-z]*\\s*|\\s*```$", ""))
 
 
+def nfc_evidence(spark: SparkSession) -> DataFrame:
+    """``typed, other, nfc_equal, nfd_equal, canonical_equal``: why Unicode normalization cannot order Khmer marks.
+
+    Only two characters of the block have a combining class (``n_classed`` of
+    ``n_named``), so normalization leaves every other order as it is.
+    """
+    names = [chr(c) for c in chars.KHMER_BLOCK if unicodedata.name(chr(c), "").startswith("KHMER")]
+    pairs = [("ភ្ជាប់", "ភា្ជប់"), ("ក្តី", "កី្ត")]
+    same = lambda form, a, b: unicodedata.normalize(form, a) == unicodedata.normalize(form, b)
+    rows = [(a, b, same("NFC", a, b), same("NFD", a, b), len(names), sum(bool(unicodedata.combining(c)) for c in names)) for a, b in pairs]
+    df = spark.createDataFrame(rows, "typed string, other string, nfc_equal boolean, nfd_equal boolean, n_named int, n_classed int")
+    return df.withColumn("canonical_equal", canonical_marks(F.col("typed")) == canonical_marks(F.col("other")))
+
+
+#: Functions of one text, by the name they get in SQL: result type and Column function.
 SQL_FUNCTIONS = {
-    "cluster_length": ("t STRING", "BIGINT", cluster_length),
-    "canonical_marks": ("t STRING", "STRING", canonical_marks),
-    "fold_latin": ("t STRING", "STRING", fold_latin),
-    "romanize": ("t STRING", "STRING", romanize),
-}
+    "cluster_length": cluster_length, "canonical_marks": canonical_marks, "has_khmer": has_khmer, "repair_script": repair_script, "fold_latin": fold_latin,
+    "romanize": romanize, "fold_subscripts": fold_subscripts, "swap_subscripts": swap_subscripts, "clean_khmer": clean_khmer, "clean_english": clean_english,
+    "clean_french": clean_french, "content_hash": content_hash,
+}
+
+
+def register_sql(spark: SparkSession, prefix: str = "") -> list[str]:
+    """Make the functions callable in ``spark.sql`` as temporary SQL functions, which Catalyst inlines; returns their names."""
+    for name, f in SQL_FUNCTIONS.items():
+        kind = spark.range(0).select(f(F.lit("x")).alias("y")).dtypes[0][1]
+        body = f(F.col("t"))._jc.node().sql()
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {prefix}{name}(t STRING) RETURNS {kind} RETURN {body}")
+    return [prefix + n for n in SQL_FUNCTIONS]

@@ -24,14 +24,36 @@ def allocation(entries: DataFrame, n: int, stratum: str) -> DataFrame:
 def draw(entries: DataFrame, n: int, stratum: str, row_id: str, seed: int = SEED) -> DataFrame:
     """The same rows at every run: those of least seeded hash in their stratum.
 
-    A row can only be taken if its hash is in the stratum's lowest part; rows
-    clearly beyond it are dropped before the ranking, so no large stratum is sorted.
+    The hash is uniform, so the rows taken lie below the share of a stratum that
+    is wanted, give or take a few standard deviations; rows beyond ten of them
+    are dropped before anything is ranked, so no large stratum is sorted.
     """
-    a = allocation(entries, n, stratum)
+    a = allocation(entries, n, stratum).withColumnRenamed("stratum", "_s")
     h = F.sha2(F.concat_ws("|", F.lit(str(seed)), F.col(row_id).cast("string")), 256)
-    e = entries.withColumn("_h", h).join(a.withColumnRenamed("stratum", "_s"), F.col(stratum).eqNullSafe(F.col("_s")))
+    e = entries.withColumn("_h", h)
+    # as many rows of a stratum have a hash below share * 2^60 as expected, give or take a few standard deviations
+    share = F.least(F.lit(1.0), (F.col("take") + 10 * F.sqrt("take") + 30) / F.col("size"))
+    j = e.join(a.withColumn("_below", (share * float(2**60)).cast("long")), F.col(stratum).eqNullSafe(F.col("_s")))
+    j = j.where(F.conv(F.substring("_h", 1, 15), 16, 10).cast("long") <= F.col("_below"))
     w = Window.partitionBy("_s").orderBy("_h", row_id)
-    return e.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.col("take")).drop("_h", "_s", "_r", "size", "take")
+    return j.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.col("take")).drop("_h", "_s", "_r", "size", "take", "_below")
+
+
+def metrics_summary(baseline: DataFrame | None, rates: DataFrame | None, pairs: DataFrame | None) -> DataFrame:
+    """``section, name, value`` of the reports that exist: quality counts, error rates, near-duplicate pairs; a missing one gives no rows."""
+    parts = []
+    if baseline is not None:
+        parts.append(baseline.select(F.lit("quality").alias("section"), F.col("check").alias("name"), F.col("count").cast("double").alias("value")))
+    if rates is not None:
+        parts.append(rates.select(F.lit("error rate").alias("section"), F.col("stratum").alias("name"), (F.col("errors") / F.nullif("checked", F.lit(0))).alias("value")))
+    if pairs is not None:
+        parts.append(pairs.groupBy(F.lit("near duplicates").alias("section"), F.col("reason").alias("name")).agg(F.count("*").cast("double").alias("value")))
+    if not parts:
+        raise ValueError("no report at all")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def tally(judged: DataFrame, verdict: str, stratum: str) -> DataFrame:

@@ -84,12 +84,19 @@ def build_index(entries: DataFrame, row_id: str = "id") -> DataFrame:
 def build_id(index: DataFrame) -> DataFrame:
     """``build_id``: first twelve hex digits of the SHA-256 of the sorted index as JSON.
 
-    The text that is hashed has some thirty bytes for each entry and is built in
-    one task: the definition of the id leaves no other way.
+    The digest is fed in order with chunks of the range-sorted index, which come
+    to the driver one at a time; nothing holds the whole text.
     """
-    pair = F.concat(F.lit('"'), "id", F.lit('": "'), "hash", F.lit('"'))
-    one = index.agg(F.array_sort(F.collect_list(F.struct("id", pair.alias("p")))).alias("a"))
-    return one.select(F.substring(F.sha2(F.concat(F.lit("{"), F.array_join(F.transform("a", lambda x: x["p"]), ", "), F.lit("}")), 256), 1, 12).alias("build_id"))
+    import hashlib
+
+    quote = lambda c: F.concat(F.lit('"'), F.col(c), F.lit('"'))
+    lines = index.select("id", F.concat(quote("id"), F.lit(": "), quote("hash")).alias("p")).orderBy("id", "p").select("p")
+    digest, sep = hashlib.sha256(b"{"), ""
+    for row in lines.toLocalIterator():
+        digest.update((sep + row[0]).encode())
+        sep = ", "
+    digest.update(b"}")
+    return index.sparkSession.createDataFrame([(digest.hexdigest()[:12],)], "build_id string")
 
 
 def manifest(entries: DataFrame, counts: DataFrame, row_id: str = "id") -> DataFrame:

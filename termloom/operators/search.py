@@ -71,6 +71,17 @@ def did_you_mean(lexicon: DataFrame, queries: DataFrame, query: str = "query", l
     return c.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit).select("query", "khmer", "distance", "rank")
 
 
+def search_with_suggestions(lexicon: DataFrame, query: str, category: str = "", limit: int = 60, order: str = "pos_ord") -> tuple[DataFrame, DataFrame]:
+    """The results, and suggestions (``khmer, distance, rank``) which there are only if nothing was found.
+
+    Both stay one plan: the suggestions are joined to the count of the results.
+    """
+    found = search(lexicon, query, category, limit, order)
+    total = found.agg(F.count("*").alias("_n")).where("_n = 0").select(F.lit(query).alias("query"))
+    asked = lexicon.sparkSession.range(1).select(F.lit(query).alias("query"))
+    return found, did_you_mean(lexicon, asked, "query", order=order).join(total, "query", "left_semi").drop("query")
+
+
 def senses(lexicon: DataFrame, khmer: str, order: str = "pos_ord") -> DataFrame:
     return lexicon.where(F.col("khmer") == khmer).orderBy(order)
 
@@ -109,9 +120,17 @@ def field_coverage(lexicon: DataFrame, fields: tuple[str, ...] = ("english", "kh
 
 
 def year_span(lexicon: DataFrame) -> DataFrame:
-    """``first_year, last_year`` of the years that are all digits; 0 where there is none."""
+    """``first_year, last_year`` of the years that are all digits, 0 where there is none, and ``n_authors``."""
     y = F.when(_v("year").rlike("^[0-9]+$"), F.col("year").try_cast("int"))
-    return lexicon.agg(F.coalesce(F.min(y), F.lit(0)).alias("first_year"), F.coalesce(F.max(y), F.lit(0)).alias("last_year"))
+    return lexicon.agg(
+        F.coalesce(F.min(y), F.lit(0)).alias("first_year"), F.coalesce(F.max(y), F.lit(0)).alias("last_year"),
+        F.count_distinct(F.nullif(X.strip(_v("author")), F.lit(""))).alias("n_authors"),
+    )
+
+
+def authors(lexicon: DataFrame) -> DataFrame:
+    """``author, n``: most entries first."""
+    return lexicon.where(X.strip(_v("author")) != "").groupBy(X.strip(F.col("author")).alias("author")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "author")
 
 
 def registry_report(lexicon: DataFrame, registry: DataFrame, order: str = "pos_ord") -> DataFrame:

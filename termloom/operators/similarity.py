@@ -21,25 +21,28 @@ def deletion_keys(pieces: Column) -> Column:
     return F.array_distinct(F.concat(F.array(F.array_join(pieces, sep)), less))
 
 
-def near_forms(forms: DataFrame, form: str = "form", unit: str = "cluster") -> DataFrame:
+def near_forms(forms: DataFrame, form: str = "form", unit: str = "cluster", within: str | None = None) -> DataFrame:
     """``a, b`` with ``a < b``: distinct forms exactly one edit apart, by clusters or characters.
 
-    One-piece forms would all share the empty key; each two of them are one edit
-    apart by definition, so they are left out here (``single_pieces`` lists them).
+    ``within`` names a column whose value both must share (a gloss, say), which
+    also splits every key.  Forms of one piece all share the empty key: each two
+    of them are one edit apart by definition, so all their pairs are in the result.
     """
-    f = forms.select(F.col(form).alias("f")).where(F.length("f") > 0).distinct()
+    cols = [F.col(form).alias("f"), (F.col(within) if within else F.lit("")).alias("w")]
+    f = forms.select(*cols).where((F.length("f") > 0) & F.col("w").isNotNull()).distinct()
     pieces = X.clusters(F.col("f")) if unit == "cluster" else F.split("f", "")
-    f = f.withColumn("p", pieces).where(F.size("p") > 1)
-    k = f.select("f", "p", F.explode(deletion_keys(F.col("p"))).alias("key")).where(F.length("key") > 0)
-    x, y = k.select("key", F.col("f").alias("a"), F.col("p").alias("pa")), k.select("key", F.col("f").alias("b"), F.col("p").alias("pb"))
-    c = x.join(y, "key").where("a < b").dropDuplicates(["a", "b"])
-    return c.where((F.abs(F.size("pa") - F.size("pb")) <= 1) & (X.array_edit_distance(F.col("pa"), F.col("pb")) == 1)).select("a", "b")
+    k = f.withColumn("p", pieces).select("f", "w", "p", F.explode(deletion_keys(F.col("p"))).alias("key"))
+    x, y = k.select("key", "w", F.col("f").alias("a"), F.col("p").alias("pa")), k.select("key", "w", F.col("f").alias("b"), F.col("p").alias("pb"))
+    c = x.join(y, ["key", "w"]).where("a < b").dropDuplicates(["a", "b"])
+    # one piece against another is an edit; so is a piece more or less that leaves the key
+    size = F.abs(F.size("pa") - F.size("pb"))
+    return c.where((size <= 1) & (X.array_edit_distance(F.col("pa"), F.col("pb")) == 1)).select("a", "b")
 
 
-def single_pieces(forms: DataFrame, form: str = "form") -> DataFrame:
-    """Forms of one cluster; any two are one edit apart."""
-    f = forms.select(F.col(form).alias("form")).where(F.length("form") > 0).distinct()
-    return f.where(X.cluster_length(F.col("form")) == 1)
+def near_forms_with_gloss(entries: DataFrame, form: str, gloss: str, unit: str = "cluster") -> DataFrame:
+    """Forms one edit apart that have a gloss in common (lower case, trimmed)."""
+    g = F.lower(X.strip(F.col(gloss).cast("string")))
+    return near_forms(entries.select(F.col(form).alias("form"), g.alias("g")).where("g <> ''"), "form", unit, "g")
 
 
 def shared_gloss(pairs: DataFrame, entries: DataFrame, form: str, gloss: str) -> DataFrame:
@@ -171,6 +174,34 @@ def subscript_worklist(entries: DataFrame, words: DataFrame, row_id: str, khmer:
     return j.select(F.col("id").alias(row_id), verdict.alias("verdict"), F.when(verdict == "differs", F.col("fixed")).otherwise("").alias("suggested"), F.coalesce("twin", F.lit(False)).alias("inconsistent"))
 
 
+def ordered_worklist(worklist: DataFrame, entries: DataFrame, row_id: str, source: str = "source") -> DataFrame:
+    """The worklist as it is handed out: verdicts differs, unknown, ok, then by source and row, with blank columns for a decision."""
+    place = F.array_position(F.array(*[F.lit(v) for v in ("differs", "unknown", "ok")]), F.col("verdict"))
+    w = worklist.join(entries.select(row_id, F.col(source).alias("source")), row_id)
+    out = w.select(row_id, "source", "verdict", "suggested", F.when(F.col("inconsistent"), "yes").otherwise("").alias("inconsistent"), F.lit("").alias("decision"), F.lit("").alias("notes"))
+    return out.orderBy(place, "source", row_id)
+
+
+def plant_rows(entries: DataFrame, planted: DataFrame, order: str, prefix: str = "official_lex_") -> tuple[DataFrame, DataFrame]:
+    """The entries with rows planted behind the last one of the same source, and the ledger (``khmer, id, planted_on``).
+
+    Planted headwords that the lexicon has already are left out.  ``place`` (and
+    the order column for the old rows) gives the new file order: a planted row
+    has the order of the row it follows, and a higher ``place``.
+    """
+    from .lexicon import with_ids
+
+    last = entries.agg(F.max(F.regexp_extract("id", "([0-9]+)$", 1).try_cast("long")), F.max(order)).first()
+    have = entries.select(X.strip(F.col("khmer")).alias("_k")).where("_k <> ''").distinct()
+    new = planted.withColumn("_k", X.strip(F.col("khmer"))).join(have, "_k", "left_anti").drop("_k")
+    numbered = new.withColumn("_at", F.row_number().over(Window.orderBy("khmer")))  # a handful of rows
+    numbered = with_ids(numbered, "_at", prefix, (last[0] or 0) + 1)
+    after = entries.groupBy("source").agg(F.max(order).alias("_after"))
+    placed = numbered.join(after, "source", "left").withColumn(order, F.coalesce("_after", F.lit(last[1]))).withColumn("place", F.col("_at")).drop("_after", "_at")
+    ledger = placed.select("khmer", "id", F.current_date().alias("planted_on"))
+    return entries.withColumn("place", F.lit(0)).unionByName(placed.select(*[c for c in [*entries.columns, "place"] if c in placed.columns]), allowMissingColumns=True), ledger
+
+
 def planted_terms(texts: DataFrame, planted: DataFrame, text: str = "text", term: str = "term") -> DataFrame:
     """``term, found``: which planted terms stand in a body of text (an audit for copied data)."""
     from .matching import occurrences

@@ -52,32 +52,107 @@ def _strip(c: str) -> str:
 # --- script functions ------------------------------------------------------------------------
 
 
-@query()
+# RE2 has no \X; in these texts a cluster is a Khmer syllable, a line end of two characters, or a character with its marks.
+_BASE, _MN = "[\\x{1780}-\\x{17B3}]", "[\\p{Mn}\\x{200D}]"
+_CLUSTER = f"{_BASE}(?:{_MN}*\\x{{17D2}}{_MN}*{_BASE})*[\\p{{M}}\\x{{200C}}\\x{{200D}}]*|\\r\\n|[^\\r\\n\\x00-\\x1f\\x{{200B}}\\x{{00AD}}\\x{{2060}}\\x{{FEFF}}][\\p{{M}}\\x{{200C}}\\x{{200D}}]*|(?s:.)"
+
+
+@query(f"SELECT doc_id, CAST(len(regexp_extract_all(text, '{_CLUSTER}')) AS BIGINT) AS clusters FROM documents")
 def cluster_len_documents(s, d):
     return _docs(s, d).select("doc_id", X.cluster_length(F.col("text")).alias("clusters"))
 
 
-@query()
+@query(f"SELECT pos_ord, array_to_string(regexp_extract_all(khmer, '{_CLUSTER}'), '|') AS clusters FROM unified_lexicon WHERE khmer IS NOT NULL")
+def clusters_lexicon(s, d):
+    return _lex(s, d).where("khmer is not null").select("pos_ord", F.array_join(X.clusters(F.col("khmer")), "|").alias("clusters"))
+
+
+@query(
+    f"WITH c AS (SELECT pos_ord, regexp_extract_all(khmer, '{_CLUSTER}') AS c FROM unified_lexicon WHERE khmer IS NOT NULL)"
+    " SELECT pos_ord, coalesce((SELECT sum(b) FROM (SELECT unnest(list_transform(range(0, len(c) + 1), lambda n: length(array_to_string(c[1:n], '')))) AS b)), 0)::BIGINT AS total, len(c) + 1 AS n FROM c"
+)
+def boundaries_lexicon(s, d):
+    b = X.cluster_boundaries(F.col("khmer"))
+    total = F.aggregate(b, F.lit(0).cast("long"), lambda a, x: a + x)
+    return _lex(s, d).where("khmer is not null").select("pos_ord", total.alias("total"), F.size(b).cast("long").alias("n"))
+
+
+# Marks of a syllable in the order robat, subscripts, shifter, vowel, sign: six extractions put back together.
+_SYL = "[\\x{1780}-\\x{17B3}](?:\\x{17D2}[\\x{1780}-\\x{17B3}]?|[\\x{17B6}-\\x{17D1}\\x{17DD}])*|(?s:.)"
+_MARKS = "\\x{17D2}[\\x{1780}-\\x{17B3}]|(?s:.)"
+
+
+def _canonical(c: str) -> str:
+    classes = ("\\x{17CC}", "\\x{17D2}", "[\\x{17C9}\\x{17CA}]", "[\\x{17B6}-\\x{17C5}]", "[\\x{17C6}-\\x{17C8}\\x{17CB}\\x{17CD}-\\x{17D1}\\x{17DD}]")
+    rest = f"regexp_extract_all(y[2:], '{_MARKS}')"
+    parts = " || ".join(f"array_to_string(list_filter({rest}, lambda m: regexp_matches(m, '^{k}')), '')" for k in classes)
+    return f"array_to_string(list_transform(regexp_extract_all({c}, '{_SYL}'), lambda y: CASE WHEN length(y) > 2 AND regexp_matches(y, '^[\\x{{1780}}-\\x{{17B3}}]') THEN y[1:1] || {parts} ELSE y END), '')"
+
+
+@query(f"SELECT pos_ord, {_canonical('khmer')} AS khmer FROM unified_lexicon")
 def canonical_marks_lexicon(s, d):
     return _lex(s, d).select("pos_ord", X.canonical_marks(F.col("khmer")).alias("khmer"))
 
 
-@query()
+# The search key of each letter, written out for the SQL on its own.
+_KEYS = (
+    "ក k ខ kh គ k ឃ kh ង ng ច ch ឆ ch ជ ch ឈ ch ញ nh ដ d ឋ th ឌ d ឍ th ណ n ត t ថ th ទ t ធ th ន n ប b ផ ph ព p ភ ph ម m យ y រ r ល l វ v ស s ហ h ឡ l អ a ឣ a ឤ a"
+    " ឥ e ឦ e ឧ o ឩ o ឪ ov ឫ r ឬ r ឭ l ឮ l ឯ ae ឰ ai ឱ ao ឲ ao ឳ au ា a ិ i ី i ឹ eu ឺ eu ុ u ូ u ួ uo ើ ae ឿ ea ៀ ie េ e ែ ae ៃ ai ោ ao ៅ au ំ m ះ h ៌ r ័ a"
+).split()
+
+
+def _doubles(c: str) -> str:
+    """Doubled pairs of letters once, then doubled letters once: RE2 has no back references, so the text is walked."""
+    three = "right(acc, 3) || x"
+    pairs = (
+        f"list_reduce(list_prepend('', string_split({c}, '')), lambda acc, x: CASE WHEN length(acc) >= 3 AND regexp_matches({three}, '^[a-z]{{4}}$')"
+        f" AND substring({three}, 1, 2) = substring({three}, 3, 2) THEN left(acc, length(acc) - 1) ELSE acc || x END)"
+    )
+    return f"list_reduce(list_prepend('', string_split({pairs}, '')), lambda acc, x: CASE WHEN right(acc, 1) = x THEN acc ELSE acc || x END)"
+
+
+_TO_LATIN = "CASE y " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in zip(_KEYS[::2], _KEYS[1::2])) + " ELSE CASE WHEN regexp_matches(y, '^[A-Za-z0-9]$') THEN lower(y) ELSE '' END END"
+
+
+def _roman(c: str) -> str:
+    return _doubles(f"array_to_string(list_transform(string_split(translate({c}, '០១២៣៤៥៦៧៨៩', '0123456789'), ''), lambda y: {_TO_LATIN}), '')")
+
+
+@query(f"SELECT pos_ord, {_roman('khmer')} AS latin FROM unified_lexicon WHERE khmer IS NOT NULL")
 def romanize_lexicon(s, d):
-    return _lex(s, d).select("pos_ord", X.romanize(F.col("khmer")).alias("latin"))
+    return _lex(s, d).where("khmer is not null").select("pos_ord", X.romanize(F.col("khmer")).alias("latin"))
 
 
-@query(f"SELECT pos_ord, translate(khmer, '{''.join(chars.repair_table())}', '{''.join(chars.repair_table().values())}') AS khmer FROM unified_lexicon")
+@query("SELECT pos_ord, " + _doubles("regexp_replace(lower(english), '[^a-z0-9]+', '', 'g')") + " AS folded FROM unified_lexicon WHERE english IS NOT NULL")
+def fold_latin_lexicon(s, d):
+    return _lex(s, d).where("english is not null").select("pos_ord", X.fold_latin(F.col("english")).alias("folded"))
+
+
+# The foreign characters that headwords of these tables hold and what they stand for.
+_DRAWN = {"ิ": "ិ", "ี": "ី", "ึ": "ឹ", "ื": "ឺ", "\u030a": "ំ"}
+
+
+@query(f"SELECT pos_ord, translate(khmer, '{''.join(_DRAWN)}', '{''.join(_DRAWN.values())}') AS khmer FROM unified_lexicon")
 def repair_script_lexicon(s, d):
     return _lex(s, d).select("pos_ord", X.repair_script(F.col("khmer")).alias("khmer"))
 
 
+_FOREIGN = "[^\\x00-\\x7F\\x{1780}-\\x{17FF}\\x{200B}-\\x{200D}\\x{2013}\\x{2014}\\x{2018}\\x{2019}\\x{201C}\\x{201D}\\x{2026}]"
+
+
 @query(
-    "SELECT pos_ord, CAST(len(regexp_extract_all(khmer, '[^\\x00-\\x7F\\x{1780}-\\x{17FF}\\x{200B}-\\x{200D}\\x{2013}\\x{2014}\\x{2018}\\x{2019}\\x{201C}\\x{201D}\\x{2026}]')) AS BIGINT) AS n"
-    " FROM unified_lexicon WHERE khmer IS NOT NULL"
+    "WITH c AS (SELECT pos_ord, unnest(range(1, length(khmer) + 1)) AS i, khmer FROM unified_lexicon), f AS (SELECT pos_ord, i - 1 AS index, substring(khmer, i, 1) AS \"char\" FROM c)"
+    f" SELECT pos_ord, index, \"char\", CASE WHEN strpos('{''.join(_DRAWN)}', \"char\") > 0 THEN 'UTS #39 visual confusable' ELSE 'outside Khmer, Latin and shared punctuation' END AS reason,"
+    f" CASE WHEN strpos('{''.join(_DRAWN)}', \"char\") > 0 THEN translate(\"char\", '{''.join(_DRAWN)}', '{''.join(_DRAWN.values())}') ELSE '' END AS suggest FROM f WHERE regexp_matches(\"char\", '{_FOREIGN}')"
 )
 def contaminants_lexicon(s, d):
-    return _lex(s, d).where("khmer is not null").select("pos_ord", F.size(X.contaminants(F.col("khmer"))).cast("long").alias("n"))
+    return _lex(s, d).select("pos_ord", F.explode(X.contaminants(F.col("khmer"))).alias("c")).select("pos_ord", "c.index", "c.char", "c.reason", "c.suggest")
+
+
+@query("SELECT pos_ord, length(regexp_replace(khmer, '[^A-Za-z0-9]', '', 'g')) AS n FROM unified_lexicon WHERE khmer IS NOT NULL")
+def latin_in_headwords(s, d):
+    latin = F.filter(X.contaminants(F.col("khmer"), False), lambda c: c["reason"] == X.LATIN)
+    return _lex(s, d).where("khmer is not null").select("pos_ord", F.size(latin).cast("long").alias("n"))
 
 
 @query("SELECT pos_ord, replace(replace(replace(khmer, '្ត', chr(1)), '្ដ', '្ត'), chr(1), '្ដ') AS swapped, replace(khmer, '្ដ', '្ត') AS folded FROM unified_lexicon")
@@ -93,21 +168,53 @@ def clean_english_lexicon(s, d):
     return _lex(s, d).select("pos_ord", X.clean_english(F.col("english")).alias("english"))
 
 
-@query()
+def _clean_khmer(c: str) -> str:
+    t = _strip(f"regexp_replace({_strip(c)}, '^[\\x{{17E0}}-\\x{{17E9}}0-9]+[\\s\\->.)}}]*', '')")
+    for wrong, right in (("កតិកាសញ្ញដ", "កតិកាសញ្ញា"), ("ដមារ", "ខ្មែរ"), ("ដមរា", "ខ្មែរ")):
+        t = f"replace({t}, '{wrong}', '{right}')"
+    return _strip(_canonical(f"translate({t}, '{''.join(_DRAWN)}', '{''.join(_DRAWN.values())}')"))
+
+
+def _clean_gloss(c: str, marks: str) -> str:
+    return _strip(f"regexp_replace({_strip(c)}, '^(?i:{marks})\\s*', '')")
+
+
+_CLEAN = f"""SELECT pos_ord, {_clean_khmer('khmer')} AS khmer, {_clean_gloss('english', 'Eng[.]|H[.]|អ[.]|អង់[.]')} AS english,
+  CASE WHEN regexp_matches({_strip('french')}, '^(?i:fr)($|[^\\pL.])') THEN {_clean_gloss('french', 'Fr')} ELSE {_clean_gloss('french', 'Fr[.]|បារ[.]')} END AS french, {_strip('pos')} AS pos FROM unified_lexicon"""
+_CLEAN = f"SELECT * FROM ({_CLEAN}) WHERE (khmer <> '' OR english <> '') AND NOT (contains(khmer, 'រាជបណ្ឌិត្យសភាកម្ពុជា') OR contains(khmer, 'សូមថ្លែងអំណរគុណ') OR contains(khmer, 'CONCH'))"
+
+
+@query(_CLEAN)
 def clean_entries_lexicon(s, d):
     return lexicon.clean_entries(_lex(s, d)).select("pos_ord", "khmer", "english", "french", "pos")
 
 
-@query()
+_POS = """WITH p AS (SELECT pos_ord, lower(trim(coalesce(pos, ''))) AS k FROM unified_lexicon)
+SELECT pos_ord, CASE WHEN k IN ('m', 'm.', '(m.)', 'f', 'f.', '(f.)', 'ន.', 'ន', 'noun', 'n.', 'n') THEN 'noun' WHEN k IN ('កិ.', 'កិ', 'verb', 'v.', 'v') THEN 'verb'
+  WHEN k IN ('គុ.', 'adj.', 'adj', 'adjective') THEN 'adjective' WHEN k IN ('កិ.វិ.', 'adv.', 'adv', 'adverb') THEN 'adverb'
+  WHEN k IN ('proper noun', 'country', 'capital', 'city', 'proper noun (country)', 'proper noun (capital)') THEN 'properNoun' END AS pos,
+  CASE WHEN k IN ('m', 'm.', '(m.)') THEN 'masculine' WHEN k IN ('f', 'f.', '(f.)') THEN 'feminine' END AS gender FROM p"""
+
+
+@query(_POS)
 def parts_of_speech_lexicon(s, d):
     return _lex(s, d).select("pos_ord", X.part_of_speech(F.col("pos")).alias("p")).select("pos_ord", "p.*")
 
 
-@query()
+@query(
+    "WITH y AS (SELECT doc_id, list_filter(list_transform(list_filter(string_split_regex(translate(coalesce(text, ''), '០១២៣៤៥៦៧៨៩', '0123456789'), '[^0-9]+'),"
+    " lambda r: length(r) = 4), lambda r: CAST(r AS INTEGER)), lambda r: r BETWEEN 1950 AND 2049) AS y FROM documents)"
+    " SELECT doc_id, list_max(y) AS latest, len(y) AS n FROM y"
+)
 def years_documents(s, d):
     return _docs(s, d).select("doc_id", F.array_max(X.years(F.col("text"))).alias("latest"), F.size(X.years(F.col("text"))).cast("long").alias("n"))
 
 
+@query("SELECT pos_ord, CASE WHEN trim(coalesce(english, '')) = '' THEN 'no English gloss in the source' END AS note FROM unified_lexicon")
+def gloss_notes(s, d):
+    return _lex(s, d).select("pos_ord", X.gloss_note(F.col("english")).alias("note"))
+
+
 @query()
 def confusable_table(s, d):
     return io.confusable_table(s)

@@ -17,6 +17,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _own_dirs: dict[str, str] = {}
+_written: list[tuple[str, str]] = []
 _shipped: set[str] = set()
 
 
@@ -58,6 +59,8 @@ def shared_dir(spark: SparkSession) -> str:
     at = spark.conf.get("spark.checkpoint.dir", None)
     if at:
         return at.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_dirs:
         own = tempfile.mkdtemp(prefix="termloom-")
@@ -71,6 +74,7 @@ def materialize(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     spark = df.sparkSession
     ship_package(spark)
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}.parquet"
+    _written.append((spark.sparkContext.applicationId, path))
     writer = df.write.mode("overwrite").option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -78,6 +82,15 @@ def materialize(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
 
 
+def release(spark: SparkSession) -> int:
+    """Remove all that ``materialize`` has written in this application, once its results are no longer needed; returns how many tables."""
+    mine = [p for app, p in _written if app == spark.sparkContext.applicationId]
+    for p in mine:
+        drop_path(spark, p)
+    _written[:] = [x for x in _written if x[1] not in set(mine)]
+    return len(mine)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a folder written by this library."""
     jvm = spark.sparkContext._jvm

@@ -93,7 +93,7 @@ def confusable_table(spark: SparkSession) -> DataFrame:
     """``char, khmer, reason``: the wrong-script table."""
     from ..functions import chars
 
-    rows = [(k, v, "same letter") for k, v in chars.SAME_LETTER.items()] + [(k, v, "drawn alike") for k, v in chars.DRAWN_ALIKE.items()]
+    rows = [(k, v, X.WRONG_SCRIPT) for k, v in chars.SAME_LETTER.items()] + [(k, v, X.LOOKS_ALIKE) for k, v in chars.DRAWN_ALIKE.items()]
     return spark.createDataFrame(rows, "char string, khmer string, reason string")
 
 
@@ -103,8 +103,8 @@ def _xml(c: Column) -> Column:
     return F.regexp_replace(c, "[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]", "")
 
 
-def tbx_concepts(entries: DataFrame) -> DataFrame:
-    """``id, xml``: one TBX concept for each entry with a headword."""
+def tbx_concepts(entries: DataFrame, *keep: str) -> DataFrame:
+    """``id, xml``: one TBX concept for each entry with a headword; ``keep`` names columns to keep."""
     v = {f: X.strip(F.coalesce(F.col(f), F.lit(""))) if f in entries.columns else F.lit("") for f in FIELDS}
     tag = lambda name, value, attr="": F.when(value != "", F.concat(F.lit(f"<{name}{attr}>"), _xml(value), F.lit(f"</{name}>"))).otherwise("")
     pos = X.part_of_speech(v["pos"])
@@ -122,10 +122,45 @@ def tbx_concepts(entries: DataFrame) -> DataFrame:
         section("km", v["khmer"], empty, tag("descrip", v["definition"], ' type="definition"')), section("en", v["english"], note, empty), section("fr", v["french"], note, empty),
         F.lit("</conceptEntry>"),
     )
-    return entries.where(v["khmer"] != "").select(v["id"].alias("id"), xml.alias("xml"))
+    return entries.where(v["khmer"] != "").select(*keep, v["id"].alias("id"), xml.alias("xml"))
+
+
+def tbx_document(entries: DataFrame, order: str, title: str) -> DataFrame:
+    """``part, n, xml``: the lines of one TBX file in order: a header, the concepts in file order, a footer."""
+    head = (
+        '<?xml version="1.0" encoding="UTF-8"?>\n<tbx type="TBX-Basic" style="dca" xml:lang="km" xmlns="urn:iso:std:iso:30042:ed-2">'
+        "<tbxHeader><fileDesc><titleStmt><title>{}</title></titleStmt><sourceDesc><p>{}</p></sourceDesc></fileDesc></tbxHeader><text><body>"
+    )
+    spark = entries.sparkSession
+    one = spark.range(1)
+    safe = _xml(F.lit(title))
+    top = one.select(F.lit(0).alias("part"), F.lit(0).cast("long").alias("n"), F.replace(F.lit(head), F.lit("{}"), safe).alias("xml"))
+    body = tbx_concepts(entries, order).select(F.lit(1).alias("part"), F.col(order).cast("long").alias("n"), "xml")
+    end = one.select(F.lit(2).alias("part"), F.lit(0).cast("long").alias("n"), F.lit("</body></text></tbx>").alias("xml"))
+    return top.unionByName(body).unionByName(end)
 
 
 def write_tbx(entries: DataFrame, path: str, order: str, title: str) -> None:
-    """TBX parts: text files whose lines are concepts, in file order, with a header and a footer file."""
-    body = tbx_concepts(entries.withColumn("id", F.col("id"))).select("xml")
-    body.write.mode("overwrite").text(path)
+    """A TBX document as text files: their lines, in the order of the files' names, are one valid XML document.
+
+    The lines are range-partitioned by file order, so no task holds all of them.
+    """
+    tbx_document(entries, order, title).orderBy("part", "n").select("xml").write.mode("overwrite").text(path)
+
+
+def write_json_array(df: DataFrame, path: str, order: str) -> None:
+    """Entries as a JSON array over text files, in the order of the files' names: brackets and commas stand where they should."""
+    row = F.to_json(F.struct(*[c for c in df.columns if c != order]), {"ignoreNullFields": "false"})
+    first = df.agg(F.min(order)).first()[0]
+    body = df.select(F.lit(1).alias("part"), F.col(order).alias("n"), F.concat(F.when(F.col(order) > F.lit(first), ",").otherwise(""), row).alias("value"))
+    edge = lambda part, c: df.sparkSession.range(1).select(F.lit(part).alias("part"), F.lit(None).cast(dict(df.dtypes)[order]).alias("n"), F.lit(c).alias("value"))
+    edge(0, "[").unionByName(body).unionByName(edge(2, "]")).orderBy("part", "n").select("value").write.mode("overwrite").text(path)
+
+
+def markdown_report(counts: DataFrame, examples: DataFrame, title: str) -> DataFrame:
+    """``section, line, text``: a report of checks with their counts and first examples, as Markdown lines."""
+    cell = lambda c: F.replace(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit("|"), F.lit("/"))
+    top = counts.agg(F.lit("").alias("section"), F.lit(0).alias("line"), F.concat(F.lit(f"# {title}: "), F.coalesce(F.sum("n"), F.lit(0)).cast("string")).alias("text"))
+    heads = counts.select(F.col("check").alias("section"), F.lit(0).alias("line"), F.concat(F.lit("## "), "check", F.lit(" ("), F.col("n").cast("string"), F.lit(")")).alias("text"))
+    rows = examples.select(F.col("check").alias("section"), F.col("rank").alias("line"), F.concat(F.lit("| "), cell("id"), F.lit(" | "), cell("detail"), F.lit(" |")).alias("text"))
+    return top.unionByName(heads).unionByName(rows).orderBy("section", "line")

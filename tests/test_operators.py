@@ -4,6 +4,7 @@ from collections import deque
 import pytest
 from pyspark.sql import functions as F
 
+from termloom.functions import text as X
 from termloom.operators import classify, estimate, lexicon, matching, quality, search, similarity
 from termloom.sources import io
 from termloom.streaming import limiter
@@ -61,7 +62,7 @@ def test_search(spark):
 
 
 def test_near_forms_against_brute_force(spark):
-    words = ["abcd", "abce", "abc", "xbcd", "bcda", "q", "r", "abdc", "", None]
+    words = ["abcd", "abce", "abc", "xbcd", "bcda", "q", "r", "abdc", "qr", "q" * 3, "ក", "ខ", "កខ", "", None]
     df = spark.createDataFrame([(w,) for w in words], "form string")
 
     def d1(a, b):
@@ -72,7 +73,7 @@ def test_near_forms_against_brute_force(spark):
         a, b = sorted((a, b), key=len)
         return any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
 
-    want = {(a, b) for a, b in itertools.combinations(sorted(w for w in words if w and len(w) > 1), 2) if d1(a, b)}
+    want = {(a, b) for a, b in itertools.combinations(sorted(w for w in words if w), 2) if d1(a, b)}
     assert {tuple(r) for r in similarity.near_forms(df).collect()} == want
     got = {(r.a, r.b): r.reason for r in similarity.classify_pairs(similarity.near_forms(df)).collect()}
     assert got[("abcd", "abce")] == "substitution" and got[("abc", "abcd")] == "one character added or dropped"
@@ -193,7 +194,7 @@ def test_rate_limit_batch_and_stream(spark, tmp_path):
     import random
 
     r = random.Random(1)
-    ev = [(i, r.choice("ab"), r.randint(0, 600)) for i in range(300)]
+    ev = [(i, r.choice("ab"), 1_000_000 + r.randint(0, 600)) for i in range(300)]
     df = spark.createDataFrame(ev, "event_id long, client string, s long").withColumn("ts", F.timestamp_seconds("s"))
     want = reference_limiter(ev, 3, 60)
     assert {x.event_id: x.accepted for x in limiter.rate_limit(df, "client", "ts", "event_id", 3, 60).collect()} == want
@@ -232,3 +233,97 @@ def test_load_blank_or_repeated_in_all_columns(spark):
         assert profile.load_changes(df, "load_no", ["english", "pos"]).where("changed").count() == 0
     finally:
         profile.fit_logistic = keep
+
+
+def test_near_forms_share_a_gloss(spark):
+    rows = [("ក", "x"), ("ខ", "X "), ("កខ", "x"), ("គ", "y"), ("ខគ", None), ("ឃ", "")]
+    df = spark.createDataFrame(rows, "khmer string, english string")
+    assert {tuple(r) for r in similarity.near_forms_with_gloss(df, "khmer", "english").collect()} == {("ក", "ខ"), ("ក", "កខ"), ("ខ", "កខ")} - {("ខ", "កខ")} | {("កខ", "ខ")}
+
+
+def test_automaton_and_join_agree(spark):
+    import random
+
+    r = random.Random(3)
+    docs = spark.createDataFrame([(i, "".join(r.choice("ab😀") for _ in range(60))) for i in range(40)] + [(99, None), (98, "")], "doc_id long, text string")
+    terms = spark.createDataFrame([("".join(r.choice("ab😀") for _ in range(r.randint(1, 5))),) for _ in range(30)] + [("",), (None,)], "term string")
+    a = sorted(map(tuple, matching.occurrences(docs, terms).collect()))
+    assert a == sorted(map(tuple, matching.joined_occurrences(docs, terms).collect())) and a
+    assert sorted(map(tuple, matching.terms_present(docs, terms).collect())) == sorted(map(tuple, matching.naive_terms(docs, terms).collect()))
+    keep, matching.BROADCAST_CHARS = matching.BROADCAST_CHARS, 0
+    try:
+        assert sorted(map(tuple, matching.occurrences(docs, terms).collect())) == a
+    finally:
+        matching.BROADCAST_CHARS = keep
+    assert matching.occurrences(docs, terms.limit(0)).count() == 0 and matching.best_of(lambda: None) >= 0
+
+
+def test_contaminants_reasons(spark):
+    got = spark.createDataFrame([("កшី̊a1",)], "t string").select(F.explode(X.contaminants(F.col("t"), False)).alias("c")).select("c.*").collect()
+    assert [(r["index"], r.name, r.reason, r.suggest) for r in got] == [
+        (1, "CYRILLIC SMALL LETTER SHA", "outside Khmer, Latin and shared punctuation", ""), (3, "COMBINING RING ABOVE", "UTS #39 visual confusable", "ំ"),
+        (4, "LATIN SMALL LETTER A", "Latin in a Khmer-only field", ""), (5, "DIGIT ONE", "Latin in a Khmer-only field", ""),
+    ]
+    same = spark.createDataFrame([("\u0940\u093f\u0e34",)], "t string").select(X.contaminants(F.col("t")).alias("c")).first().c
+    assert [(c.reason, c.suggest) for c in same] == [("same letter, wrong script", "ី"), ("same letter, wrong script", "ិ"), ("UTS #39 visual confusable", "ិ")]
+
+
+def test_sql_functions(spark):
+    spark.createDataFrame([("១. ភា្ជប់ x",), (None,), ("ទិន្នន័យ",)], "t string").createOrReplaceTempView("sql_texts")
+    for name in X.register_sql(spark, "tl_"):
+        a = spark.sql(f"SELECT {name}(t) AS y FROM sql_texts").collect()
+        assert a == spark.table("sql_texts").select(X.SQL_FUNCTIONS[name[3:]](F.col("t")).alias("y")).collect()
+    e = X.nfc_evidence(spark).collect()
+    assert all(r.canonical_equal and not r.nfc_equal and r.n_named == 114 and r.n_classed == 2 for r in e)
+
+
+def test_suggestions_only_without_results(spark):
+    e = lex(spark, [("ផ្ទះ", "house", "t")])
+    found, more = search.search_with_suggestions(e, "ផ្ទះ")
+    assert found.count() == 1 and more.count() == 0
+    found, more = search.search_with_suggestions(e, "ផ្ទា")
+    assert found.count() == 0 and [r.khmer for r in more.collect()] == ["ផ្ទះ"]
+    assert search.year_span(e).first().n_authors == 1 and search.authors(e).first().n == 1
+
+
+def test_worklist_order_and_planting(spark):
+    words = spark.createDataFrame([("បណ្ដឹង",), ("ស្ត្រី",)], "word string")
+    e = lex(spark, [("ស្ត្រី", "", "b"), ("ក្តាម", "", "a"), ("បណ្តឹង", "", "z")])
+    w = similarity.ordered_worklist(similarity.subscript_worklist(e, words, "pos_ord"), e, "pos_ord").collect()
+    assert [(r.verdict, r.source) for r in w] == [("differs", "z"), ("unknown", "a"), ("ok", "b")]
+    p = spark.createDataFrame([("ថ្មី", "new", "b"), ("ក្តាម", "x", "b")], "khmer string, english string, source string")
+    out, ledger = similarity.plant_rows(e, p, "pos_ord")
+    assert [r.khmer for r in out.orderBy("pos_ord", "place").collect()] == ["ស្ត្រី", "ថ្មី", "ក្តាម", "បណ្តឹង"]
+    assert [(r.khmer, r.id) for r in ledger.collect()] == [("ថ្មី", "official_lex_0004")]
+    assert similarity.plant_rows(out.drop("place"), p, "pos_ord")[1].count() == 0
+
+
+def test_tbx_file_is_xml(spark, tmp_path):
+    import json
+    from xml.etree import ElementTree
+
+    e = lex(spark, [("ភាសា", "a & b", "s"), ("ខ", "none", "s")])
+    io.write_tbx(e, str(tmp_path / "t"), "pos_ord", "Terms <1>")
+    text = "".join(p.read_text() for p in sorted((tmp_path / "t").glob("part-*.txt")))
+    root = ElementTree.fromstring(text)
+    ns = "{urn:iso:std:iso:30042:ed-2}"
+    assert [c.get("id") for c in root.iter(ns + "conceptEntry")] == ["official_lex_0001", "official_lex_0002"] and root.find(f".//{ns}title").text == "Terms <1>"
+    io.write_json_array(e, str(tmp_path / "j"), "pos_ord")
+    rows = json.loads("".join(p.read_text() for p in sorted((tmp_path / "j").glob("part-*.txt"))))
+    assert [r["khmer"] for r in rows] == ["ភាសា", "ខ"]
+    counts, found = quality.check_counts(e), quality.examples(quality.findings(e))
+    md = [r.text for r in io.markdown_report(counts, found, "Checks").collect()]
+    assert md[0].startswith("# Checks: ") and any(x.startswith("## single bare consonant (1)") for x in md)
+
+
+def test_summary_reports_and_relocation(spark):
+    b = spark.createDataFrame([("c", 3)], "check string, count long")
+    r = spark.createDataFrame([("s", 1, 4), ("t", 0, 0)], "stratum string, errors long, checked long")
+    got = {(x.section, x.name): x.value for x in estimate.metrics_summary(b, r, None).collect()}
+    assert got == {("quality", "c"): 3.0, ("error rate", "s"): 0.25, ("error rate", "t"): None}
+    ev = spark.createDataFrame([("lexicon_report", 1, "x" * 5000, 1), ("lexicon_report", 2, "", 2), ("zero_result", 3, "q", 3)], "kind string, at long, message string, log_id long")
+    assert [len(x.message) for x in limiter.clip_reports(ev.where("kind = 'lexicon_report'")).collect()] == [2000]
+    assert [x.log_id for x in limiter.recent_reports(ev, "lexicon_report", "at", "log_id").collect()] == [2, 1]
+    s = spark.createDataFrame([(1, "s", "long gloss", 9, "", "", ""), (2, "s", "long gloss", 9, "y", "", "")], "i long, source string, english string, page int, khmer_ok string, english_ok string, notes string")
+    p = spark.createDataFrame([("s", 4, "Eng. long gloss")], "source string, page int, text string")
+    assert {x.i: x.page for x in estimate.relocate_unjudged(s, p, "i").collect()} == {1: 4, 2: 9}
