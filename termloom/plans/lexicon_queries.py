@@ -104,9 +104,12 @@ _KEYS = (
 def _doubles(c: str) -> str:
     """Doubled pairs of letters once, then doubled letters once: RE2 has no back references, so the text is walked."""
     three = "right(acc, 3) || x"
+    # a bar stands behind what a match has used up; only the same pair again goes on with it
     pairs = (
-        f"list_reduce(list_prepend('', string_split({c}, '')), lambda acc, x: CASE WHEN length(acc) >= 3 AND regexp_matches({three}, '^[a-z]{{4}}$')"
-        f" AND substring({three}, 1, 2) = substring({three}, 3, 2) THEN left(acc, length(acc) - 1) ELSE acc || x END)"
+        f"replace(list_reduce(list_prepend('', string_split({c}, '')), lambda acc, x: CASE WHEN length(acc) >= 3 AND regexp_matches({three}, '^[a-z]{{4}}$')"
+        f" AND substring({three}, 1, 2) = substring({three}, 3, 2) THEN left(acc, length(acc) - 1) || '|'"
+        " WHEN length(acc) >= 4 AND substring(right(acc, 4), 3, 1) = '|' AND substring(right(acc, 4), 1, 2) = right(acc, 1) || x THEN left(acc, length(acc) - 1)"
+        " ELSE acc || x END), '|', '')"
     )
     return f"list_reduce(list_prepend('', string_split({pairs}, '')), lambda acc, x: CASE WHEN right(acc, 1) = x THEN acc ELSE acc || x END)"
 
@@ -236,7 +239,24 @@ def term_occurrences(s, d):
     return matching.occurrences(_docs(s, d), _ref(s, d))
 
 
-@query()
+_HITS = (
+    f"SELECT doc_id, term, CAST(i - 1 AS BIGINT) AS s, CAST(i - 1 + length(term) AS BIGINT) AS e FROM (SELECT doc_id, text, term, unnest(generate_series(1, length(text) - length(term) + 1)) AS i"
+    f" FROM documents, {{}} t WHERE contains(text, term)) WHERE substring(text, i, length(term)) = term"
+)
+
+
+def _longest(hits: str) -> str:
+    """Hits without overlap: the sorted hits of a document are walked once."""
+    walk = (
+        "list_reduce(list_prepend([struct_pack(s := CAST(-1 AS BIGINT), m := CAST(0 AS BIGINT), e := CAST(0 AS BIGINT), term := '')], list_transform(h, lambda y: [y])),"
+        " lambda acc, x: CASE WHEN x[1].s >= acc[-1].e THEN list_concat(acc, x)"
+        " WHEN x[1].e > acc[-1].e AND x[1].e - x[1].s > acc[-1].e - acc[-1].s THEN list_concat(acc[1:len(acc) - 1], x) ELSE acc END)"
+    )
+    g = f"SELECT doc_id, list_sort(list(struct_pack(s := s, m := s - e, e := e, term := term))) AS h FROM ({hits}) GROUP BY doc_id"
+    return f"SELECT doc_id, k.term AS term, k.s AS start, k.e AS \"end\" FROM (SELECT doc_id, unnest({walk}) AS k FROM ({g})) WHERE k.s >= 0"
+
+
+@query(_longest(_HITS.format(_REF)))
 def longest_matches(s, d):
     return matching.longest_matches(matching.occurrences(_docs(s, d), _ref(s, d)))
 
