@@ -1,7 +1,12 @@
 """One consistent form for text that looks the same (problem 5).
 
-Method: a quick-check pattern, the analogue of the normalization quick-check
-properties, finds the places where a text can differ from its canonical form.
+Method: a quick-check pattern finds the places where a text can differ from its
+canonical form.  For Unicode normalization it is made of the quick-check
+properties themselves, derived from the Unicode database: characters that are not
+normalized, that can compose with the one before, or that have a combining class,
+and those whose compatibility decomposition only changes width, font, joining
+shape or ligature and so shows the same.  To these come the script's own rules
+(order of marks, two-part vowels), spaces, invisible characters and look-alikes.
 Each such place is widened to the next boundary on either side (a character
 that never combines with what stands before it), only this segment is
 normalized, and the result is spliced into the otherwise untouched text.  Most
@@ -22,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+
 # Characters without a visible mark (format controls, Khmer inherent vowels).
 INVISIBLE = (
     "\\u00ad\\u034f\\u061c\\u115f\\u1160\\u17b4\\u17b5\\u180b-\\u180e\\u200b-\\u200f"
@@ -50,12 +57,56 @@ _VOWEL = "\\u17b6-\\u17c5"
 _SIGN = "\\u17c6-\\u17c8\\u17cb\\u17cd-\\u17d1\\u17dd"
 _SHIFT = "\\u17c9\\u17ca"
 _ROBAT = "៌"
+#: Compatibility decompositions that show the same: not raised, lowered, encircled or fractions.
+SAME_LOOK = ("wide", "narrow", "font", "compat", "noBreak", "initial", "medial", "final", "isolated")
+
+
+def _unicode_sets() -> tuple[set[int], set[int], dict[int, str]]:
+    """Code points that normalization changes, that may belong to the character before, and compatibility forms with what they show."""
+    changed, joining, shown = set(), set(), {}
+    # without the large blocks of ideographs, syllables and private use, which have no decompositions of their own
+    for p in (*range(0x80, 0x3400), *range(0xA000, 0xAC00), *range(0xF900, 0x20000), *range(0x2F800, 0x2FA20)):
+        c = chr(p)
+        d = unicodedata.decomposition(c)
+        if unicodedata.combining(c):
+            joining.add(p)
+        if not d:
+            continue
+        if d[0] != "<":
+            parts = [int(x, 16) for x in d.split()]
+            if parts[0] in shown or not unicodedata.is_normalized("NFC", c):
+                changed.add(p)
+            joining.update(parts[1:])
+        elif d[1 : d.index(">")] in SAME_LOOK:
+            to = unicodedata.normalize("NFKC", c)
+            if not to.startswith(" "):  # a spacing accent is no accent on a space
+                shown[p] = to
+    # Hangul vowels and final consonants compose by rule
+    joining.update(range(0x1161, 0x1176), range(0x11A8, 0x11C3))
+    return changed, joining - set(range(0x1780, 0x1800)), shown
+
+
+_CHANGED, _JOINING, _SHOWN = _unicode_sets()
+
+
+def _class(points: set[int]) -> str:
+    """The points as ranges of a character class."""
+    out, run = [], []
+    for p in sorted(points):
+        if run and p == run[-1] + 1:
+            run.append(p)
+        else:
+            run = [p]
+            out.append(run)
+    return "".join(f"\\U{r[0]:08x}-\\U{r[-1]:08x}" for r in out)
+
+
 # Characters that belong to the segment of the base before them.
-_JOINS = f"\\u17b4-\\u17d3\\u17dd\\u0300-\\u036f\\u0e34-\\u0e37\\u0e4d\\u0eb4-\\u0eb7\\u0ecd{INVISIBLE}"
+_JOINS = f"\\u17b4-\\u17d3\\u17dd\\u0e34-\\u0e37\\u0eb4-\\u0eb7{INVISIBLE}{_class(_JOINING)}"
 
 #: Quick check: where this finds nothing the text is canonical already.
 UNSTABLE = re.compile(
-    f"[{INVISIBLE}{SPACES}\\r{''.join(LOOK_ALIKE)}\\u0300-\\u036f\\uff01-\\uffee]"
+    f"[{INVISIBLE}{SPACES}\\r{''.join(LOOK_ALIKE)}{_class({p for p in _CHANGED | _JOINING | set(_SHOWN) if p < 0x10000})}\U00010000-\U0010ffff]"
     f"|  +|^ | $| \\n|\\n "
     f"|[{_VOWEL}{_SIGN}{_SHIFT}]{_COENG}"  # a mark before a subscript
     f"|[{_SIGN}][{_VOWEL}{_SHIFT}]|[{_VOWEL}][{_SHIFT}]|[{_SIGN}{_VOWEL}{_SHIFT}]{_ROBAT}"
@@ -68,8 +119,8 @@ _JOIN_RE = re.compile(f"[{_JOINS}]")
 _INVISIBLE_RE = re.compile(f"[{INVISIBLE}]")
 _SPACE_RE = re.compile(f"[ {SPACES}]+")
 _ODD_SPACE = re.compile(f"[{SPACES}\\r]|  | \\n|\\n |^ | $")
+_OWN_RE = re.compile("[\\x00-\\x7f\\u1780-\\u17ff]*")
 _TABLE = str.maketrans(LOOK_ALIKE)
-_WIDE_RE = re.compile("[\\uff01-\\uffee]+")
 _SYLLABLE = re.compile(f"[{_BASE}](?:{_COENG}[{_BASE}]?|[\\u17b6-\\u17d1\\u17dd])+")
 _PIECE = re.compile(f"{_COENG}[{_BASE}]?|.")
 
@@ -105,7 +156,8 @@ def _segment(t: str) -> str:
     """Canonical form of a segment that starts and ends at boundaries."""
     t = _INVISIBLE_RE.sub("", t)
     if not t.isascii():
-        t = _WIDE_RE.sub(lambda m: unicodedata.normalize("NFKC", m.group(0)), t)
+        if not t.isascii() and not _OWN_RE.fullmatch(t):
+            t = unicodedata.normalize("NFD", t).translate(_SHOWN)
         if not unicodedata.is_normalized("NFC", t):
             t = unicodedata.normalize("NFC", t)
         t = t.translate(_TABLE)  # after NFC: a ring above a Latin letter composes, one above Khmer stays
@@ -164,8 +216,9 @@ def same_looking_pairs(df: DataFrame, row_id: str, column: str) -> DataFrame:
     Returns ``pos_a < pos_b``.  Null and blank values (also wholly invisible
     ones) are left out, rows with equal code points give no pair, an empty table
     gives none.  Only hashes (128 bits of the canonical form, 64 of the raw one)
-    are shuffled; classes with a single written form, however many rows they
-    have, are dropped before any pair is made.
+    are shuffled.  Written forms are paired first and rows only put in their
+    place, so rows with equal values are never joined with one another; classes
+    with a single written form are dropped before.
     """
     canon = F.col("_c")
     keyed = (
@@ -176,8 +229,14 @@ def same_looking_pairs(df: DataFrame, row_id: str, column: str) -> DataFrame:
         .where(~canon.rlike(r"^\s+$"))
         .select("pos", F.xxhash64(canon).alias("k1"), F.xxhash64(canon, F.lit(1)).alias("k2"), F.xxhash64("_v").alias("raw"))
     )
-    mixed = keyed.groupBy("k1", "k2").agg(F.min("raw").alias("lo"), F.max("raw").alias("hi")).where("lo <> hi").select("k1", "k2")
-    rows = keyed.join(mixed, ["k1", "k2"])
-    a = rows.select("k1", "k2", F.col("pos").alias("pos_a"), F.col("raw").alias("raw_a"))
-    b = rows.select("k1", "k2", F.col("pos").alias("pos_b"), F.col("raw").alias("raw_b"))
-    return a.join(b, ["k1", "k2"]).where("pos_a < pos_b and raw_a <> raw_b").select("pos_a", "pos_b")
+    keyed = materialize(keyed, "looks")
+    # written forms of each class; rows that are equal are one form until the end
+    forms = keyed.select("k1", "k2", "raw").distinct()
+    mixed = forms.groupBy("k1", "k2").agg(F.count("*").alias("n")).where("n > 1").select("k1", "k2")
+    forms = materialize(forms.join(mixed, ["k1", "k2"], "left_semi"), "looks-forms")
+    f, g = forms.withColumnRenamed("raw", "f"), forms.withColumnRenamed("raw", "g")
+    two = f.join(g, ["k1", "k2"]).where("f < g")
+    rows = keyed.join(forms, ["k1", "k2", "raw"], "left_semi")
+    p = two.join(rows.select("k1", "k2", F.col("raw").alias("f"), F.col("pos").alias("p")), ["k1", "k2", "f"])
+    p = p.join(rows.select("k1", "k2", F.col("raw").alias("g"), F.col("pos").alias("q")), ["k1", "k2", "g"])
+    return p.select(F.least("p", "q").alias("pos_a"), F.greatest("p", "q").alias("pos_b"))

@@ -42,6 +42,20 @@ def test_canonical_properties():
     assert canon.canonical(long) == "ភាព" * 50_000
 
 
+def test_canonical_equivalents_are_equal():
+    import unicodedata
+
+    for p in range(0x80, 0x110000):
+        c = chr(p)
+        d = unicodedata.normalize("NFD", c)
+        if d != c:
+            assert canon.canonical("x" + c + "y") == canon.canonical("x" + d + "y"), hex(p)
+    for a, b in (("か\u3099", "が"), ("\u212b", "Å"), ("\u2126", "Ω"), ("ﬁ", "fi"), ("Ⅳ", "IV"), ("𝐀", "A"), ("ｶ", "カ"), ("q\u0307\u0323", "q\u0323\u0307")):
+        assert canon.canonical(a) == canon.canonical(b), (a, b)
+    for a, b in (("①", "1"), ("x²", "x2"), ("½", "1/2")):
+        assert canon.canonical(a) != canon.canonical(b)
+
+
 def test_same_looking_pairs(spark):
     rows = [(1, "ភាព​ល្អ", 0), (2, "ភាពល្អ", 0), (3, "ភាពល្អ", 0), (4, None, 0), (5, "", 0), (6, "​", 0), (7, " ", 0), (8, "ភាប", 0)]
     df = spark.createDataFrame(rows, "pos_ord long, khmer string, pos long")
