@@ -31,6 +31,20 @@ def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return flat, ends
 
 
+_BASE, _INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
+
+
+def _windows(flat: np.ndarray, n: int, seed: int) -> np.ndarray:
+    """Hash of every stretch of ``n`` code points at a cost that does not depend on ``n``: differences of weighted sums."""
+    if len(flat) < n:
+        return np.zeros(0, np.uint64)
+    up, down = np.full(len(flat), _BASE), np.full(len(flat), _INVERSE)
+    up[0] = down[0] = 1
+    total = np.zeros(len(flat) + 1, np.uint64)
+    np.cumsum(mix(flat + np.uint64(seed * 2 + 1)) * np.cumprod(up), out=total[1:])
+    return mix((total[n:] - total[:-n]) * np.cumprod(down)[: len(flat) - n + 1])
+
+
 def char_shingles(texts: list[str], n: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Row number and hash of every n-gram of characters; a shorter text is one shingle."""
     flat, ends = code_points(texts)
@@ -39,10 +53,13 @@ def char_shingles(texts: list[str], n: int, seed: int = 0) -> tuple[np.ndarray,
     first = np.repeat(ends[:-1], np.maximum(lengths - n + 1, 0))
     within = np.arange(len(rows)) - np.repeat(np.cumsum(np.maximum(lengths - n + 1, 0)) - np.maximum(lengths - n + 1, 0), np.maximum(lengths - n + 1, 0))
     at = first + within
-    h = np.full(len(rows), np.uint64(seed * 2 + 1), dtype=np.uint64)
     with np.errstate(over="ignore"):
-        for k in range(n):
-            h = mix(h * np.uint64(0x9E3779B97F4A7C15) + flat[at + k])
+        if n < 4:
+            h = np.full(len(rows), np.uint64(seed * 2 + 1), dtype=np.uint64)
+            for k in range(n):
+                h = mix(h * np.uint64(0x9E3779B97F4A7C15) + flat[at + k])
+        else:
+            h = _windows(flat, n, seed)[at]
         short = np.flatnonzero((lengths < n) & (lengths > 0))
         if len(short):
             extra = []

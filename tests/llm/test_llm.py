@@ -311,7 +311,8 @@ def prose(r, n):
 def test_leaks(spark):
     r = random.Random(8)
     stock = "Give the official rendering of the marked term and nothing else."
-    items = [(i, f"{stock} {prose(r, 45)}.") for i in range(20)] + [(98, ""), (99, None)]
+    items = [(i, f"{stock} {prose(r, 45)}.") for i in range(20)] + [(98, ""), (99, None), (30, "Qzx vbn mkl!"), (31, f"{stock} {prose(r, 2)}"), (32, "Short one of twenty-nine letters")]
+    items += [(40, items[0][1])]  # the same item again
     body = dict(items)
     half = body[3][: len(body[3]) * 7 // 10]
     docs = [
@@ -320,11 +321,11 @@ def test_leaks(spark):
         (3, prose(r, 50) + body[5][:90] + prose(r, 90)),
         (4, stock + " " + prose(r, 80)),
         (5, " ".join("changed" if n % 12 == 5 else w for n, w in enumerate(body[7].split()))),
-        (6, None), (7, ""), (8, body[0]), (9, body[0]),
+        (6, None), (7, ""), (8, body[0]), (9, body[0]), (10, "so QZX-vbn MKL. " + prose(r, 9)), (11, prose(r, 9) + " short one of twenty " + prose(r, 9)),
     ]
     d = spark.createDataFrame(docs, "doc_id long, text string")
     i = spark.createDataFrame(items, "item_id long, text string")
-    want = {(1, 0), (2, 3), (5, 7), (8, 0), (9, 0)}
+    want = {(1, 0), (2, 3), (5, 7), (8, 0), (9, 0), (1, 40), (8, 40), (9, 40), (10, 30), (11, 32)}
     assert {(x.doc_id, x.item_id) for x in leak.leaks(d, i).collect()} == want
     keep, leak.BROADCAST_MAX = leak.BROADCAST_MAX, 0
     try:
