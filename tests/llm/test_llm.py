@@ -130,12 +130,25 @@ def test_near_duplicates_against_brute_force(spark):
     assert neardup.TermGroups(df.limit(0)).row_pairs().count() == 0
 
 
+def test_hot_headword_with_many_glosses(spark):
+    # one headword on a third of the rows; glosses differ, some by one letter, some are blank
+    r = random.Random(21)
+    k = word(r, 8)
+    glosses = ["".join(r.choice("abcdefghijklmnop") for _ in range(12)) for _ in range(150)]
+    rows = [(k, g) for g in glosses] + [(k[:9] + "ា" + k[9:], g[:5] + "z" + g[6:]) for g in glosses[:60]] + [(k, "")]
+    rows += [(word(r, 8), "".join(r.choice("abcdefghijklmnop") for _ in range(12))) for _ in range(400)]
+    rows = [(i, a, b) for i, (a, b) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "pos_ord long, khmer string, english string")
+    got, want = {tuple(x) for x in neardup.TermGroups(df).row_pairs().collect()}, brute_pairs(rows)
+    assert got <= want and len(got) >= 0.99 * len(want) and len(want) > 250
+
+
 def test_star_edges_span_batches():
     import pandas as pd
 
     n = 500
-    sig = np.zeros(n, np.int64)
-    sig[::2] = -1
+    sig = np.full(n, 0x1111111111111111, np.int64)
+    sig[::2] = 0x2222222222222222
     b = pd.DataFrame({"key": np.ones(n, np.int64), "pos": np.arange(n), "sig": sig})
     edges = [tuple(x) for out in neardup._stars(iter([b[:3], b[3:200], b[200:]])) for x in out[["a", "b"]].to_numpy()]
     assert len(edges) == n - 2 and {a for a, _ in edges} == {0, 1}
