@@ -180,6 +180,41 @@ def test_batches_against_brute_force(spark):
     assert incremental.repeated_batches(h, b.limit(0), "pos_ord", "raw_id", "batch_no").count() == 0
 
 
+def test_ranges_of_hot_keys():
+    bounds = [[5, -(2**63)], [9, -(2**63)], [9, 10], [9, 20], [12, -(2**63)]]
+    key, key2 = np.array([1, 5, 8, 9, 9, 9, 9, 11, 12, 99]), np.array([0, 0, 0, -5, 10, 19, 20, 0, 0, 0])
+    assert incremental.range_of(bounds, key, key2).tolist() == [0, 1, 1, 2, 3, 3, 4, 4, 5, 5]
+    assert incremental.range_of([], key, key2).tolist() == [0] * 10
+
+
+def test_history_is_reopened_and_pruned(spark, tmp_path):
+    r = random.Random(22)
+    keep, incremental.RANGE_ROWS = incremental.RANGE_ROWS, 100
+    try:
+        make = lambda n, at: [(at + i, word(r, 7), "".join(r.choice("abcdefgh") for _ in range(9))) for i in range(n)]
+        old = make(1200, 1)
+        path = "file://" + str(tmp_path / "h")
+        h = incremental.TermHistory(spark, path)
+        cols = "raw_id long, khmer string, english string"
+        h.accept(spark.createDataFrame(old, cols), "raw_id", sign=-1)
+        new = [(5000 + i, k, g) for i, (_, k, g) in enumerate(old[:3])] + make(2, 5100)
+        again = incremental.TermHistory(spark, path)  # another session
+        got = {x.id: x.partner for x in again.check(spark.createDataFrame(new, cols), "raw_id").collect()}
+        assert got == {5000: -1, 5001: -2, 5002: -3}
+        # only the ranges that the batch touches are read
+        e = again._entries(spark.createDataFrame([(x[0], x[1], x[2]) for x in new[:1]], "id long, kkey string, gkey string"))
+        part = again._read(again.state["runs"][:1], incremental.ENTRY, ["pass", "range"], e.select("pass", "range"))
+        assert part.count() < 0.3 * spark.read.schema(incremental.ENTRY).parquet(again.state["runs"][0]).count()
+        assert "PartitionFilters: [" in part._jdf.queryExecution().toString()
+        for i in range(6):  # compaction loses nothing
+            again.check(spark.createDataFrame(make(5, 6000 + 10 * i), cols), "raw_id")
+        assert len(again.state["runs"]) <= incremental.COMPACT_EVERY
+        last = incremental.TermHistory(spark, path).check(spark.createDataFrame([(9000, old[700][1], old[700][2]), (9001, new[3][1], new[3][2])], cols), "raw_id")
+        assert {x.id: x.partner for x in last.collect()} == {9000: -701, 9001: 5100}
+    finally:
+        incremental.RANGE_ROWS = keep
+
+
 # --- truncation ------------------------------------------------------------------------------
 
 
