@@ -261,17 +261,44 @@ def longest_matches(s, d):
     return matching.longest_matches(matching.occurrences(_docs(s, d), _ref(s, d)))
 
 
-@query()
+_STOP = ", ".join(f"'{w}'" for w in matching.STOP_WORDS)
+_TERMS = (
+    f"(SELECT {_strip('khmer')} AS term, count(*) AS n_senses FROM unified_lexicon WHERE regexp_matches({_strip('khmer')}, '[\\x{{1780}}-\\x{{17FF}}]')"
+    f" AND len(regexp_extract_all({_strip('khmer')}, '{_CLUSTER}')) >= 2 AND {_strip('khmer')} NOT IN ({_STOP}) GROUP BY 1)"
+)
+_CHECKED = f"""WITH t AS {_TERMS}, raw AS ({_HITS.format('t')}),
+c AS (SELECT doc_id, regexp_extract_all(text, '{_CLUSTER}') AS c FROM documents),
+b AS (SELECT doc_id, unnest(list_prepend(0, list_transform(range(1, len(c) + 1), lambda n: 0))) AS zero FROM c WHERE false),
+e AS (SELECT doc_id, 0 AS b FROM c UNION ALL SELECT doc_id, CAST(sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS BIGINT) AS b FROM (SELECT doc_id, length(unnest(c)) AS n, unnest(range(1, len(c) + 1)) AS i FROM c)),
+kept AS (SELECT raw.* FROM raw JOIN e x ON x.doc_id = raw.doc_id AND x.b = s JOIN e y ON y.doc_id = raw.doc_id AND y.b = e),
+final AS ({_longest('SELECT * FROM kept')})"""
+_CHECKED = _CHECKED.replace("b AS (SELECT doc_id, unnest(list_prepend(0, list_transform(range(1, len(c) + 1), lambda n: 0))) AS zero FROM c WHERE false),\n", "")
+
+
+@query(_CHECKED + ' SELECT doc_id, term, start, "end", n_senses FROM final JOIN t USING (term)')
 def check_drafts_matches(s, d):
     return matching.check_drafts(_docs(s, d), _lex(s, d))["matches"].select("doc_id", "term", "start", "end", F.size("senses").cast("long").alias("n_senses"))
 
 
-@query()
+@query(
+    _CHECKED + ", n AS (SELECT doc_id, (SELECT count(*) FROM raw WHERE raw.doc_id = d.doc_id) AS raw, (SELECT count(*) FROM kept WHERE kept.doc_id = d.doc_id) AS kept,"
+    " (SELECT count(*) FROM final WHERE final.doc_id = d.doc_id) AS matches FROM documents d) SELECT doc_id, raw, raw - kept AS rejected, matches, kept - matches AS merged FROM n"
+)
 def check_drafts_counters(s, d):
     return matching.check_drafts(_docs(s, d), _lex(s, d))["counters"]
 
 
-@query()
+_LOANS = f"""WITH x AS (SELECT lower({_strip('english')}) AS term, {_strip('khmer')} AS khmer, pos_ord FROM unified_lexicon),
+t AS (SELECT term, arg_min(khmer, pos_ord) AS khmer FROM x WHERE length(term) >= 4 AND regexp_full_match(term, '[\\x00-\\x7F]*') AND khmer <> '' GROUP BY term),
+docs AS (SELECT doc_id, text, lower(text) AS low FROM documents),
+h AS (SELECT doc_id, term, khmer, text, low, CAST(i - 1 AS BIGINT) AS s, CAST(i - 1 + length(term) AS BIGINT) AS e FROM (SELECT doc_id, text, low, term, khmer, unnest(generate_series(1, length(low) - length(term) + 1)) AS i
+  FROM docs, t WHERE contains(low, term) AND NOT contains(text, khmer)) WHERE substring(low, i, length(term)) = term),
+w AS (SELECT doc_id, term, s, e FROM h WHERE NOT regexp_matches(CASE WHEN s > 0 THEN substring(low, s, 1) ELSE '' END, '[\\pL\\pN]') AND NOT regexp_matches(substring(low, e + 1, 1), '[\\pL\\pN]')),
+f AS ({_longest('SELECT * FROM w')})
+SELECT doc_id, substring(text, start + 1, "end" - start) AS term, start, "end", khmer AS suggest FROM f JOIN t USING (term) JOIN docs USING (doc_id)"""
+
+
+@query(_LOANS)
 def loanwords(s, d):
     return matching.loanwords(_docs(s, d), matching.english_terms(_lex(s, d)))
 
@@ -319,9 +346,23 @@ def search_khmer(s, d):
     return search.search(_lex(s, d), "ភាព").select("pos_ord", "tier", "rank")
 
 
-@query()
+# All three tiers of a Latin query; the third by the sound key of the headword, within distance two.
+_SOUND = f"""WITH k AS (SELECT pos_ord, english, french, khmer, {_roman("coalesce(khmer, '')")} AS k FROM unified_lexicon), t AS (
+  SELECT *, CASE WHEN contains(k, '{{f}}') THEN 0 ELSE levenshtein(k, '{{f}}') END AS near FROM k
+), u AS (SELECT *, CASE WHEN lower(english) = '{{q}}' OR lower(french) = '{{q}}' THEN 1 WHEN contains(lower(english), '{{q}}') OR contains(lower(french), '{{q}}') THEN 2
+    WHEN k <> '' AND near <= 2 THEN 3 END AS tier FROM t)
+SELECT pos_ord, tier, CAST(row_number() OVER (ORDER BY tier, CASE tier WHEN 3 THEN near WHEN 2 THEN length(CASE WHEN coalesce(english, '') <> '' THEN english ELSE coalesce(khmer, '') END) ELSE 0 END,
+  CASE WHEN tier = 3 THEN length(khmer) ELSE 0 END, pos_ord) AS INTEGER) AS rank FROM u WHERE tier IS NOT NULL ORDER BY rank LIMIT 60"""
+
+
+@query(_SOUND.replace("{f}", "mang").replace("{q}", "mang"))
 def search_by_sound(s, d):
-    return search.search(_lex(s, d), "pheap").select("pos_ord", "tier", "rank")
+    return search.search(_lex(s, d), "mang").select("pos_ord", "tier", "rank")
+
+
+@query(f"SELECT author, count(*) AS n FROM (SELECT {_strip('author')} AS author FROM unified_lexicon) WHERE author <> '' GROUP BY author")
+def authors(s, d):
+    return search.authors(_lex(s, d))
 
 
 @query("SELECT count(*) AS total FROM unified_lexicon WHERE category = 'Land Survey' AND (contains(lower(english), 'code') OR contains(lower(french), 'code'))")
@@ -330,7 +371,22 @@ def search_category_total(s, d):
     return search.search(_lex(s, d), "code", "Land Survey", 2_000_000_000).where("tier < 3").agg(F.count("*").alias("total"))
 
 
-@query()
+_ONE_OFF = (
+    "CASE WHEN length({0}) = length({1}) THEN len(list_filter(range(1, length({0}) + 1), lambda i: substring({0}, i, 1) <> substring({1}, i, 1))) <= 1"
+    " WHEN length({0}) = length({1}) + 1 THEN list_bool_or(list_transform(range(1, length({0}) + 1), lambda i: substring({0}, 1, i - 1) || substring({0}, i + 1) = {1}))"
+    " WHEN length({0}) + 1 = length({1}) THEN list_bool_or(list_transform(range(1, length({1}) + 1), lambda i: substring({1}, 1, i - 1) || substring({1}, i + 1) = {0})) ELSE false END"
+)
+# Clusters become single characters of a private plane, so that the distance of characters is that of clusters.
+_DID_YOU_MEAN = f"""WITH t AS (SELECT DISTINCT query_text AS f, true AS asked FROM search_log WHERE kind = 'zero_result' AND regexp_matches(query_text, '[\\x{{1780}}-\\x{{17FF}}]')
+  UNION SELECT DISTINCT {_strip('khmer')}, false FROM unified_lexicon WHERE {_strip('khmer')} <> ''),
+c AS (SELECT f, asked, regexp_extract_all({_canonical("trim(f, ' ' || chr(9) || chr(10) || chr(160))")}, '{_CLUSTER}') AS c FROM t),
+n AS (SELECT k, row_number() OVER (ORDER BY k) AS n FROM (SELECT DISTINCT unnest(c) AS k FROM c)),
+w AS (SELECT f, asked, string_agg(chr(CAST(983040 + n AS INTEGER)), '' ORDER BY i) AS w FROM (SELECT f, asked, unnest(c) AS k, unnest(range(1, len(c) + 1)) AS i FROM c) JOIN n USING (k) GROUP BY f, asked),
+m AS (SELECT x.f AS query, y.f AS khmer, CASE WHEN x.w = y.w THEN 0 ELSE 1 END AS distance FROM w x JOIN w y ON x.asked AND NOT y.asked AND abs(length(x.w) - length(y.w)) <= 1 AND {_ONE_OFF.format('x.w', 'y.w')})
+SELECT query, khmer, CAST(distance AS INTEGER) AS distance, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY distance, length(khmer), khmer) AS INTEGER) AS rank FROM m) WHERE rank <= 6"""
+
+
+@query(_DID_YOU_MEAN)
 def did_you_mean(s, d):
     asked = table(s, d, "search_log").where("kind = 'zero_result'").select(F.col("query_text").alias("query"))
     return search.did_you_mean(_lex(s, d), asked)
@@ -376,7 +432,10 @@ def field_coverage(s, d):
     return search.field_coverage(_lex(s, d))
 
 
-@query("SELECT min(TRY_CAST(year AS INTEGER)) AS first_year, max(TRY_CAST(year AS INTEGER)) AS last_year FROM unified_lexicon WHERE regexp_full_match(year, '[0-9]+')")
+@query(
+    "SELECT min(TRY_CAST(year AS INTEGER)) FILTER (regexp_full_match(year, '[0-9]+')) AS first_year, max(TRY_CAST(year AS INTEGER)) FILTER (regexp_full_match(year, '[0-9]+')) AS last_year,"
+    f" count(DISTINCT nullif({_strip('author')}, '')) AS n_authors FROM unified_lexicon"
+)
 def year_span(s, d):
     return search.year_span(_lex(s, d))
 
@@ -395,7 +454,10 @@ def whole_word(s, d):
     return search.whole_word(_lex(s, d), ["tax", "code", "hearing"])
 
 
-@query()
+@query(
+    "SELECT doc_id, CAST(i - 1 AS INTEGER) AS at, trim(c, ' ' || chr(9) || chr(13) || chr(160)) AS context FROM (SELECT doc_id, unnest(c) AS c, unnest(range(1, len(c) + 1)) AS i FROM"
+    " (SELECT doc_id, regexp_extract_all(text, '(?i)[^.\\n]*?draft[^.\\n]*?\\.') AS c FROM documents))"
+)
 def contexts(s, d):
     return search.contexts(_docs(s, d), "draft")
 
@@ -413,10 +475,10 @@ def lookup_english(s, d):
 
 def _glosses(s, d):
     g = F.lower(F.col("english"))
-    return _lex(s, d).select(g.alias("form")).where(F.col("form").rlike("^[\\x00-\\x7F]+$") & (F.length("form") > 1)).distinct()
+    return _lex(s, d).select(g.alias("form")).where(F.col("form").rlike("^[\\x00-\\x7F]+$")).distinct()
 
 
-_GLOSS = "(SELECT DISTINCT lower(english) AS f FROM unified_lexicon WHERE regexp_full_match(english, '[\\x00-\\x7F]+') AND length(english) > 1)"
+_GLOSS = "(SELECT DISTINCT lower(english) AS f FROM unified_lexicon WHERE regexp_full_match(english, '[\\x00-\\x7F]+'))"
 
 
 @query(f"SELECT x.f AS a, y.f AS b FROM {_GLOSS} x, {_GLOSS} y WHERE x.f < y.f AND abs(length(x.f) - length(y.f)) <= 1 AND levenshtein(x.f, y.f) = 1")
@@ -424,10 +486,23 @@ def near_glosses(s, d):
     return similarity.near_forms(_glosses(s, d), unit="character")
 
 
+# Clusters become single characters of a private plane, so that the distance of characters is that of clusters.
+_NEAR_HEADWORDS = f"""WITH g AS (SELECT DISTINCT khmer AS f, lower({_strip('english')}) AS g FROM unified_lexicon WHERE khmer <> ''),
+c AS (SELECT f, regexp_extract_all(f, '{_CLUSTER}') AS c FROM (SELECT DISTINCT f FROM g)),
+n AS (SELECT k, row_number() OVER (ORDER BY k) AS n FROM (SELECT DISTINCT unnest(c) AS k FROM c)),
+w AS (SELECT f, string_agg(chr(CAST(983040 + n AS INTEGER)), '' ORDER BY i) AS w FROM (SELECT f, unnest(c) AS k, unnest(range(1, len(c) + 1)) AS i FROM c) JOIN n USING (k) GROUP BY f)
+SELECT DISTINCT x.f AS a, y.f AS b FROM g x JOIN g y ON x.g = y.g AND x.g <> '' AND x.f < y.f JOIN w p ON p.f = x.f JOIN w q ON q.f = y.f
+WHERE p.w <> q.w AND abs(length(p.w) - length(q.w)) <= 1 AND {_ONE_OFF.format('p.w', 'q.w')}"""
+
+
+@query(_NEAR_HEADWORDS)
+def near_headword_pairs(s, d):
+    return similarity.near_forms_with_gloss(_lex(s, d), "khmer", "english")
+
+
 @query()
 def near_headwords(s, d):
-    pairs = similarity.near_forms(_lex(s, d).select(F.col("khmer").alias("form")))
-    return similarity.classify_pairs(similarity.shared_gloss(pairs, _lex(s, d), "khmer", "english"))
+    return similarity.classify_pairs(similarity.near_forms_with_gloss(_lex(s, d), "khmer", "english"))
 
 
 @query("SELECT khmer AS form, count(*) AS n FROM unified_lexicon WHERE khmer <> '' GROUP BY khmer HAVING count(*) > 1")
@@ -435,13 +510,24 @@ def duplicate_forms(s, d):
     return similarity.duplicate_forms(_lex(s, d), "khmer")
 
 
-@query()
+_WORDS = f"(SELECT DISTINCT w AS word FROM (SELECT {_canonical(_strip('t_main'))} AS w FROM reference_headwords UNION ALL SELECT {_canonical(_strip('t_subword'))} FROM reference_headwords) WHERE w <> '')"
+_SINGLE = f"(SELECT pos_ord, {_canonical(_strip('khmer'))} AS k FROM unified_lexicon WHERE regexp_matches({_strip('khmer')}, '[\\x{{1780}}-\\x{{17FF}}]') AND NOT regexp_matches({_strip('khmer')}, '[ /()]'))"
+
+
+@query(f"SELECT pos_ord FROM {_SINGLE} WHERE replace(k, '្ដ', '្ត') IN (SELECT replace(word, '្ដ', '្ត') FROM {_WORDS})")
 def known_headwords(s, d):
     words = similarity.headwords(table(s, d, "reference_headwords"))
     return similarity.known_words(similarity.single_words(_lex(s, d)), words).select("pos_ord")
 
 
-@query()
+# Positions that can be reached from the start by list words of two clusters or more.
+_COMPOUNDS = f"""WITH RECURSIVE w AS {_WORDS}, e AS (SELECT pos_ord, regexp_extract_all(k, '{_CLUSTER}') AS p FROM {_SINGLE}), b AS (SELECT * FROM e WHERE len(p) >= 4),
+r(pos_ord, p, i) AS (SELECT pos_ord, p, CAST(0 AS BIGINT) FROM b UNION SELECT pos_ord, p, j FROM (SELECT pos_ord, p, i, unnest(range(i + 2, len(p) + 1)) AS j FROM r)
+  WHERE array_to_string(p[i + 1:j], '') IN (SELECT word FROM w))
+SELECT DISTINCT pos_ord FROM r WHERE i = len(p)"""
+
+
+@query(_COMPOUNDS)
 def compounds(s, d):
     return similarity.compounds(similarity.single_words(_lex(s, d)), similarity.headwords(table(s, d, "reference_headwords")), "pos_ord")
 
@@ -469,17 +555,42 @@ def assign_ids(s, d):
     return lexicon.with_ids(_lex(s, d), "pos_ord").select("pos_ord", "id")
 
 
-@query()
+_BUILT = f"""WITH c AS ({_CLEAN}), f AS (SELECT *, row_number() OVER (PARTITION BY lower(english) || '|' || lower(khmer) ORDER BY pos_ord) AS r FROM c)
+SELECT pos_ord, 'official_lex_' || printf('%04d', row_number() OVER (ORDER BY pos_ord)) AS id, khmer, english FROM f WHERE r = 1"""
+
+
+@query(_BUILT)
 def build_lexicon(s, d):
     return lexicon.build(_lex(s, d), "pos_ord").select("pos_ord", "id", "khmer", "english")
 
 
-@query()
+_RO_LAST = "regexp_replace({}, '([\\x{{1780}}-\\x{{17A2}}])\\x{{17D2}}\\x{{179A}}\\x{{17D2}}([\\x{{1780}}-\\x{{17A2}}])', '\\1្\\2្រ', 'g')"
+_MERGED = f"""WITH kept AS (SELECT lower(coalesce(english, '')) || '|' || lower(coalesce(khmer, '')) AS key FROM unified_lexicon l WHERE source NOT IN (SELECT source FROM staged_entries WHERE source IS NOT NULL) OR source IS NULL),
+s AS (SELECT raw_id, {_RO_LAST.format(_clean_khmer('khmer'))} AS k, {_clean_gloss('english', 'Eng[.]|H[.]|អ[.]|អង់[.]')} AS e FROM staged_entries),
+j AS (SELECT *, lower(e) || '|' || lower(k) AS key, (k = '' AND e = '') OR (k <> '' AND (NOT regexp_matches(k, '[\\x{{1780}}-\\x{{17FF}}]') OR regexp_matches(k, '[0-9]') OR regexp_matches(k, '{_FOREIGN}')
+  OR len(regexp_extract_all(k, '{_CLUSTER}')) > 30 OR regexp_full_match(k, '[\\x{{1780}}-\\x{{17A2}}]'))) OR contains(k, 'រាជបណ្ឌិត្យសភាកម្ពុជា') OR contains(k, 'សូមថ្លែងអំណរគុណ') OR contains(k, 'CONCH') AS bad FROM s)
+SELECT status, count(*) AS n FROM (SELECT CASE WHEN bad THEN 'skipped' WHEN key IN (SELECT key FROM kept) OR row_number() OVER (PARTITION BY bad, key ORDER BY raw_id) > 1 THEN 'duplicate' ELSE 'added' END AS status FROM j) GROUP BY status"""
+
+
+@query(_MERGED)
 def append_merge_stats(s, d):
     return lexicon.append_merge(_lex(s, d), table(s, d, "staged_entries"), "raw_id")[1]
 
 
-@query()
+def _flat(c: str) -> str:
+    return _strip(f"regexp_replace(coalesce({c}, ''), '[\\s\\x{{00A0}}\\x{{2000}}-\\x{{200A}}\\x{{202F}}\\x{{3000}}]+', ' ', 'g')")
+
+
+_TIDY = f"""WITH f AS (SELECT raw_id, item, needs_review, {_flat('khmer')} AS k, {_flat('english')} AS e, {_flat('french')} AS fr, {_flat('pos')} AS p, {_flat('definition')} AS d, {_flat('examples')} AS x FROM staged_entries),
+g AS (SELECT * REPLACE (CASE WHEN regexp_matches(e, '[\\x{{1780}}-\\x{{17FF}}]') AND NOT regexp_matches(e, '[A-Za-z]') THEN '' ELSE e END AS e,
+  CASE WHEN regexp_matches(fr, '[\\x{{1780}}-\\x{{17FF}}]') AND NOT regexp_matches(fr, '[A-Za-z]') THEN '' ELSE fr END AS fr,
+  regexp_replace(regexp_replace(k, '([\\x{{1780}}-\\x{{17DD}}])-\\s+([\\x{{1780}}-\\x{{17DD}}])', '\\1\\2', 'g'), '([\\x{{1780}}-\\x{{17DD}}])-\\s+([\\x{{1780}}-\\x{{17DD}}])', '\\1\\2', 'g') AS k) FROM f),
+i AS (SELECT *, regexp_extract(k, '^\\s*([\\x{{17E0}}-\\x{{17E9}}0-9]+)\\s*[-\\x{{2013}}\\x{{2014}}.]\\s*', 1) AS no, {_strip("regexp_replace(k, '^' || chr(92) || 's*[០-៩0-9]+' || chr(92) || 's*[-–—.]' || chr(92) || 's*', '')")} AS rest FROM g)
+SELECT raw_id, rest AS khmer, coalesce(nullif({_strip('item')}, ''), no) AS item, CASE WHEN rest = '' THEN 'headword not read by OCR' ELSE needs_review END AS needs_review FROM i
+WHERE rest <> '' OR e <> '' OR fr <> '' OR p <> '' OR d <> '' OR x <> ''"""
+
+
+@query(_TIDY)
 def tidy_extracted(s, d):
     return lexicon.tidy_extracted(table(s, d, "staged_entries")).select("raw_id", "khmer", "item", "needs_review")
 
@@ -503,17 +614,30 @@ def validate_simple(s, d):
     return quality.check_counts(_lex(s, d), "pos_ord").where(F.col("check").isin(names))
 
 
-@query()
+_BAD = "[^\\x00-\\x7F\\x{1780}-\\x{17FF}\\x{200B}-\\x{200D}\\x{2013}\\x{2014}\\x{2018}\\x{2019}\\x{201C}\\x{201D}\\x{2026}]"
+_ALL_CHECKS = _CHECKS.replace(') SELECT "check", n FROM c WHERE n > 0', f"""  UNION ALL SELECT 'subscript ro first', count(*) FILTER (regexp_matches(k, '[\\x{{1780}}-\\x{{17A2}}]\\x{{17D2}}\\x{{179A}}\\x{{17D2}}[\\x{{1780}}-\\x{{17A2}}]')) FROM e
+  UNION ALL SELECT 'letter pair for a vowel', count(*) FILTER (contains(k, 'ប្ញ')) FROM e
+  UNION ALL SELECT 'marks not in canonical order', count(*) FILTER ({_canonical('k')} <> k) FROM e
+  UNION ALL SELECT 'longer than 20 clusters', count(*) FILTER (len(regexp_extract_all(k, '{_CLUSTER}')) > 20) FROM e
+  UNION ALL SELECT 'out-of-range character', CAST(sum(len(regexp_extract_all(k, '{_BAD}'))) AS BIGINT) FROM e
+  UNION ALL SELECT 'obsolete letter', CAST(sum(contains(k, 'ឝ')::INT + contains(k, 'ឞ')::INT + contains(k, 'ឣ')::INT + contains(k, 'ឤ')::INT) AS BIGINT) FROM e
+) SELECT "check", n FROM c WHERE n > 0""")
+
+
+@query(_ALL_CHECKS)
 def validate_checks(s, d):
     return quality.check_counts(_lex(s, d), "pos_ord")
 
 
-@query()
+@query(f"SELECT CAST(pos_ord AS VARCHAR) AS id, substring(sha256(coalesce({_canonical('khmer')}, '')), 1, 8) AS hash FROM unified_lexicon")
 def build_index(s, d):
     return quality.build_index(_lex(s, d), "pos_ord")
 
 
-@query()
+@query(
+    "SELECT substring(sha256('{' || string_agg('\"' || id || '\": \"' || hash || '\"', ', ' ORDER BY id) || '}'), 1, 12) AS build_id FROM"
+    f" (SELECT CAST(pos_ord AS VARCHAR) AS id, substring(sha256(coalesce({_canonical('khmer')}, '')), 1, 8) AS hash FROM unified_lexicon)"
+)
 def build_id(s, d):
     return quality.build_id(quality.build_index(_lex(s, d), "pos_ord"))
 
@@ -556,13 +680,15 @@ def wilson_by_category(s, d):
 
 
 @query(
-    "SELECT round(sum(size * errors / checked) / sum(size), 9) AS rate, CAST(sum(checked) AS BIGINT) AS n, CAST(sum(size) AS BIGINT) AS covers"
-    " FROM " + _JUDGED + " JOIN (SELECT coalesce(category, '') AS stratum, count(*) AS size FROM unified_lexicon GROUP BY 1) USING (stratum)"
+    "WITH r AS (SELECT sum(size * errors / checked) / sum(size) AS rate, CAST(sum(checked) AS DOUBLE) AS n, CAST(sum(size) AS BIGINT) AS covers"
+    " FROM " + _JUDGED + " JOIN (SELECT coalesce(category, '') AS stratum, count(*) AS size FROM unified_lexicon GROUP BY 1) USING (stratum)),"
+    " p AS (SELECT *, round_even(rate * n, 0) / n AS p FROM r), h AS (SELECT *, 1.96 * sqrt(p * (1 - p) / n + 3.8416 / (4 * n * n)) / (1 + 3.8416 / n) AS h FROM p)"
+    " SELECT round(rate, 9) AS rate, CAST(n AS BIGINT) AS n, covers, round((p + 1.9208 / n) / (1 + 3.8416 / n) - h, 9) AS lo, round((p + 1.9208 / n) / (1 + 3.8416 / n) + h, 9) AS hi FROM h"
 )
 def weighted_rate(s, d):
     sizes = _lex(s, d).groupBy(F.coalesce("category", F.lit("")).alias("stratum")).agg(F.count("*").alias("size"))
     r = estimate.weighted_rate(estimate.tally(_judged(s, d), "ok", "category"), sizes)
-    return r.select(F.round("rate", 9).alias("rate"), "n", "covers")
+    return r.select(F.round("rate", 9).alias("rate"), "n", "covers", F.round("lo", 9).alias("lo"), F.round("hi", 9).alias("hi"))
 
 
 @query()
@@ -574,7 +700,20 @@ def gloss_lines(s, d):
 # --- documents, exports, events --------------------------------------------------------------
 
 
-@query()
+_KIND = [
+    ("ព្រះរាជក្រឹត្យ", "law-or-decree"), ("ព្រះរាជក្រម", "law-or-decree"), ("អនុក្រឹត្យ", "law-or-decree"), ("សេចក្តីសម្រេច", "law-or-decree"), ("ប្រកាស", "law-or-decree"),
+    ("សារាចរ", "law-or-decree"), ("ព្រឹត្តិបត្រ", "bulletin"), ("BULLETIN", "bulletin"), ("សទ្ទានុក្រម", "terminology-glossary"), ("LEXICON", "terminology-glossary"), ("វចនានុក្រម", "dictionary"),
+    ("វេយ្យាករណ៍", "grammar"), ("របាយការណ៍", "report"),
+]
+_CLASSIFIED = """WITH l AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '\\r\\n|[\\n\\r\\x0b\\x0c\\x{85}\\x{2028}\\x{2029}]'), lambda x: trim(x) <> '')[1:12] AS l, text FROM documents),
+k AS (SELECT doc_id, array_to_string(l, ' / ') AS title, replace(upper(array_to_string(l, ' ')), '្ដ', '្ត') AS u, list_filter(list_transform(list_filter(string_split_regex(translate(coalesce(text, ''), '០១២៣៤៥៦៧៨៩', '0123456789'), '[^0-9]+'),
+  lambda r: length(r) = 4), lambda r: CAST(r AS INTEGER)), lambda r: r BETWEEN 1950 AND 2049) AS y FROM l),
+w AS (SELECT * FROM (VALUES """ + ", ".join(f"('{w}', '{k}')" for w, k in _KIND) + """) v(word, kind)),
+h AS (SELECT doc_id, min(struct_pack(at := strpos(u, replace(upper(word), '្ដ', '្ត')), word := word, kind := kind)) FILTER (strpos(u, replace(upper(word), '្ដ', '្ត')) > 0) AS h FROM k, w GROUP BY doc_id)
+SELECT doc_id AS doc, coalesce(h.kind, CASE WHEN trim(u) <> '' THEN 'other' ELSE 'indeterminate' END) AS kind, h.word AS word, nullif(title, '') AS title_area, list_max(y) AS year FROM k JOIN h USING (doc_id)"""
+
+
+@query(_CLASSIFIED)
 def classify_documents(s, d):
     return classify.classify_documents(_docs(s, d).select(F.col("doc_id").alias("doc"), F.lit(1).alias("page"), "text"))
 
@@ -584,7 +723,14 @@ def tbx_export(s, d):
     return io.tbx_concepts(_lex(s, d))
 
 
-@query()
+# The window of accepted events walks along each user's events; what is rejected uses up nothing.
+_LIMITED = """WITH e AS (SELECT user_id, list(struct_pack(id := event_id, t := epoch_us(ts)) ORDER BY ts, event_id) AS l FROM events GROUP BY user_id),
+r AS (SELECT user_id, list_reduce(list_prepend([struct_pack(id := CAST(-1 AS BIGINT), t := CAST(0 AS BIGINT), ok := false)], list_transform(l, lambda y: [struct_pack(id := y.id, t := y.t, ok := false)])),
+  lambda acc, x: list_concat(acc, [struct_pack(id := x[1].id, t := x[1].t, ok := len(list_filter(acc[greatest(1, len(acc) - 400):], lambda z: z.ok AND z.t >= x[1].t - 21600000000)) < 3)])) AS a FROM e)
+SELECT k.id AS event_id, CAST(user_id AS VARCHAR) AS client, k.ok AS accepted FROM (SELECT user_id, unnest(a) AS k FROM r) WHERE k.id >= 0"""
+
+
+@query(_LIMITED)
 def rate_limit_events(s, d):
     return limiter.rate_limit(table(s, d, "events"), "user_id", "ts", "event_id", 3, 21_600)
 
