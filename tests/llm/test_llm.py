@@ -190,6 +190,7 @@ def test_ranges_of_hot_keys():
 def test_history_is_reopened_and_pruned(spark, tmp_path):
     r = random.Random(22)
     keep, incremental.RANGE_ROWS = incremental.RANGE_ROWS, 100
+    assert incremental.FEW_PARTS < 12  # the twelve ranges here are asked for
     try:
         make = lambda n, at: [(at + i, word(r, 7), "".join(r.choice("abcdefgh") for _ in range(9))) for i in range(n)]
         old = make(1200, 1)
