@@ -143,6 +143,19 @@ def test_hot_headword_with_many_glosses(spark):
     assert got <= want and len(got) >= 0.99 * len(want) and len(want) > 250
 
 
+def test_large_component_is_tested_whole(spark):
+    # one headword, a row without a gloss that joins them all, glosses that differ in several letters
+    r = random.Random(31)
+    k, rows = word(r, 8), []
+    for _ in range(60):
+        g = "".join(r.choice("abcdefghijklmnop") for _ in range(18))
+        i, j = r.randint(1, 6), r.randint(9, 15)
+        rows += [(k, g), (k, g[:i] + "z" + g[i + 1 : j] + "y" + g[j + 1 :])]
+    rows = [(i, a, b) for i, (a, b) in enumerate([(k, "")] + rows)]
+    df = spark.createDataFrame(rows, "pos_ord long, khmer string, english string")
+    assert {tuple(x) for x in neardup.TermGroups(df).row_pairs().collect()} == brute_pairs(rows)
+
+
 def test_star_edges_span_batches():
     import pandas as pd
 
