@@ -156,6 +156,59 @@ def test_large_component_is_tested_whole(spark):
     assert {tuple(x) for x in neardup.TermGroups(df).row_pairs().collect()} == brute_pairs(rows)
 
 
+def test_every_pair_of_a_bucket_is_compared(spark):
+    # pairs of rows alike under one headword, as few bins agree as in the worst of them; with hot buckets too
+    r = random.Random(33)
+    rows = []
+    for k in (word(r, 8), word(r, 7)):
+        for _ in range(150):
+            g = "".join(r.choice("abcdefghijklmnop") for _ in range(14))
+            i, j = r.randint(1, 5), r.randint(8, 12)
+            rows += [(k, g), (k, g[:i] + g[i + 1] + g[i] + g[i + 2 : j] + "z" + g[j + 1 :])]
+    rows = [(i, a, b) for i, (a, b) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "pos_ord long, khmer string, english string")
+    want = brute_pairs(rows)
+    pairs = lambda: {tuple(x) for x in neardup.TermGroups(df).row_pairs().collect()}
+    assert pairs() == want
+    keep, neardup.HOT = neardup.HOT, 20
+    try:
+        assert pairs() == want
+    finally:
+        neardup.HOT = keep
+
+
+def test_pairs_of_buckets_that_span_batches():
+    import pandas as pd
+
+    r = np.random.default_rng(36)
+    keep, neardup.PAIRS = neardup.PAIRS, 37
+    try:
+        for most in (None, 0, 5, 17, 1000) * 4:
+            d = pd.DataFrame({"key": np.repeat(np.arange(60) * 2, r.integers(1, 30, 60))})
+            d = d.assign(pos=np.arange(len(d)), sig=0, sig2=0)
+            cuts = [0, *np.sort(r.choice(len(d), 40, replace=False)).tolist(), len(d)]
+            out = [x for b in neardup._pairs_inside(most)(iter([d[a:b] for a, b in zip(cuts, cuts[1:])])) for x in b.to_numpy().tolist()]
+            by = d.groupby("key")["pos"].agg(list)
+            small = [p for p in by if most is None or len(p) <= most]
+            assert sorted((a, b) for a, b, hot in out if not hot) == sorted(x for p in small for x in itertools.combinations(p, 2))
+            assert sorted((a, b) for a, b, hot in out if hot) == [(k, x) for k, p in by.items() if most is not None and len(p) > most for x in p]
+    finally:
+        neardup.PAIRS = keep
+
+
+def test_bounds_exclude_no_true_pair():
+    r = random.Random(34)
+    rows = [(khmer_letters(k), gloss_words(g)) for _, k, g in lexicon(35, 150)] + [(word(r, 60), "a" * 70), (word(r, 90), "")]
+    rows += [(k[:-2], g) for k, g in rows if len(k) > 4]
+    sig, sig2 = neardup.bounds([k for k, _ in rows], [g for _, g in rows])
+    for i, x in enumerate(rows):
+        may = neardup.may_match(sig[i], sig2[i], sig, sig2)
+        want = [same_term(*x, *y) for y in rows]
+        assert not (np.array(want) & ~may).any()
+        got = neardup.same_terms([x[0]] * len(rows), [x[1]] * len(rows), [k for k, _ in rows], [g for _, g in rows])
+        assert got.tolist() == want
+
+
 def test_star_edges_span_batches():
     import pandas as pd
 
