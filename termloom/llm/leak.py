@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .canon import canonical
-from .sketch import char_shingles, code_points
+from .sketch import char_shingles, code_points, mix
 
 GRAM, WINDOW, SEED = 14, 10, 10
 COVER = 0.5
@@ -83,6 +83,21 @@ def fingerprints(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return rows[pick], h[pick], at[pick]
 
 
+def prefixes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, length and hash of every opening of squashed texts, from ``GRAM`` characters on; equal openings have equal hashes."""
+    rows, lengths, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    flat, ends = code_points(texts)
+    with np.errstate(over="ignore"):
+        for i, (a, b) in enumerate(zip(ends[:-1], ends[1:])):
+            if b - a >= GRAM:
+                place = np.arange(b - a, dtype=np.uint64)
+                h = mix(np.cumsum(mix(flat[a:b] + (place << np.uint64(21)))))[GRAM - 1 :]
+                rows.append(np.full(len(h), i))
+                lengths.append(np.arange(GRAM, b - a + 1))
+                hashes.append(h)
+    return np.concatenate(rows), np.concatenate(lengths), np.concatenate(hashes)
+
+
 def seeds(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes of an item's runs of ``SEED`` characters, and where they stand."""
     _, h = char_shingles([text], SEED, seed=3) if len(text) >= SEED else (None, np.zeros(0, np.uint64))
@@ -146,12 +161,16 @@ class _Index:
     def __init__(self, ids: list[int], texts: list[str]):
         self.ids, self.texts, self.length = ids, texts, np.array([len(t) for t in texts], dtype=np.int64)
         long = np.flatnonzero(self.length >= 2 * RUN)
-        r, h, _ = fingerprints([texts[i] for i in long])
-        pairs = np.unique(np.stack([h.view(np.int64), long[r]], axis=1), axis=0) if len(long) else np.zeros((0, 2), np.int64)
-        self.h, self.item = pairs[:, 0], pairs[:, 1]
-        _, inverse, times = np.unique(self.h, return_inverse=True, return_counts=True)
-        own = times[inverse] <= STOCK
-        has_own = np.bincount(self.item[own], minlength=len(texts)) >= LEAST_OWN
+        r, h, at = fingerprints([texts[i] for i in long])
+        pairs = pd.DataFrame({"h": h.view(np.int64), "item": long[r], "at": at}).groupby(["h", "item"], sort=True)["at"].max().reset_index()
+        self.h, self.item = pairs["h"].to_numpy(), pairs["item"].to_numpy()
+        opening = np.zeros(len(texts), dtype=np.int64)
+        r, n, h = prefixes([texts[i] for i in long])
+        _, inverse, times = np.unique(h, return_inverse=True, return_counts=True)
+        shared = times[inverse] > STOCK
+        np.maximum.at(opening, long[r[shared]], n[shared])
+        own = pairs["at"].to_numpy() + GRAM > opening[self.item]
+        has_own = np.bincount(self.item[own], minlength=len(texts)) > 0
         self.joins = own | ~has_own[self.item]
         self.need = np.array([enough(int(n)) for n in self.length], dtype=np.int64)
         self.seeds = [seeds(t) for t in texts]
@@ -224,17 +243,29 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: st
 
 
 def _joined_leaks(doc: DataFrame, item: DataFrame, schema: str) -> DataFrame:
-    """The same for held-out sets of any size: fingerprints and short parts are shuffled and joined."""
+    """The same for held-out sets of any size: fingerprints, openings and short parts are shuffled and joined."""
 
     def prints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             r, h, _ = fingerprints(b["t"].tolist())
             yield pd.DataFrame({"h": h.view(np.int64), "id": b["id"].to_numpy()[r]}).drop_duplicates()
 
+    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            r, h, at = fingerprints(b["t"].tolist())
+            yield pd.DataFrame({"h": h.view(np.int64), "id": b["id"].to_numpy()[r], "at": at})
+
+    def openings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            r, n, h = prefixes(b["t"].tolist())
+            yield pd.DataFrame({"h": h.view(np.int64), "id": b["id"].to_numpy()[r], "n": n})
+
     long = item.where(F.length("t") >= 2 * RUN)
-    p = materialize(long.mapInPandas(prints, "h long, id long"), "leak-prints")
-    often = p.groupBy("h").agg(F.count("*").alias("n"))
-    p = p.join(often, "h").withColumn("own", F.col("n") <= STOCK)
+    opening = materialize(long.mapInPandas(openings, "h long, id long, n long"), "leak-openings")
+    often = opening.groupBy("h").agg(F.count("*").alias("items")).where(F.col("items") > STOCK).select("h")
+    opening = opening.join(often, "h").groupBy("id").agg(F.max("n").alias("opening"))
+    p = long.mapInPandas(placed, "h long, id long, at long").groupBy("h", "id").agg(F.max("at").alias("at")).join(opening, "id", "left")
+    p = materialize(p.withColumn("own", F.col("at") + GRAM > F.coalesce("opening", F.lit(0))), "leak-prints")
     has = p.groupBy("id").agg(F.max("own").alias("has_own"))
     p = p.join(has, "id").select("h", F.col("id").alias("item"), (F.col("own") | ~F.col("has_own")).alias("joins"))
     dp = materialize(doc.mapInPandas(prints, "h long, id long").withColumnRenamed("id", "doc"), "leak-document-prints")

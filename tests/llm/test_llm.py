@@ -450,6 +450,22 @@ def test_leaks(spark):
     assert leak.leaks(d.limit(0), i).count() == 0
 
 
+def test_passage_that_several_items_share(spark):
+    # a passage in the middle of four items counts; the instruction that opens them does not
+    r = random.Random(37)
+    stock, passage = "Give the official rendering of the marked term and nothing else.", prose(r, 50)
+    items = [(i, f"{stock} {prose(r, 8)} {passage} {prose(r, 6)}") for i in range(4)] + [(9, f"{stock} {prose(r, 3)}")]
+    docs = [(1, prose(r, 40) + " " + passage + " " + prose(r, 40)), (2, prose(r, 40) + " " + stock + " " + prose(r, 40)), (3, items[4][1])]
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = {(1, 0), (1, 1), (1, 2), (1, 3), (3, 9)}
+    assert {(x.doc_id, x.item_id) for x in leak.leaks(d, i).collect()} == want
+    keep, leak.BROADCAST_MAX = leak.BROADCAST_MAX, 0
+    try:
+        assert {(x.doc_id, x.item_id) for x in leak.leaks(d, i).collect()} == want
+    finally:
+        leak.BROADCAST_MAX = keep
+
+
 def test_winnowing_guarantee():
     r = random.Random(9)
     for _ in range(100):
