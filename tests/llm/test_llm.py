@@ -246,6 +246,25 @@ def test_batches_against_brute_force(spark):
     assert incremental.repeated_batches(h, b.limit(0), "pos_ord", "raw_id", "batch_no").count() == 0
 
 
+def test_history_is_met_where_it_lies():
+    # any stretches of the history give the pairs of the whole, merged with the batch
+    import pandas as pd
+    from types import SimpleNamespace
+
+    r = np.random.default_rng(38)
+    n, cols = 3000, incremental._COLUMNS
+    x = pd.DataFrame({"pass": r.integers(0, 2, n).astype(np.int32), "key": r.integers(0, 40, n) << 16, "key2": r.integers(0, 3, n) << 32, "id": np.arange(n)})
+    x = x.assign(range=x["pass"], sig=0, sig2=0, fresh=r.random(n) < 0.1)
+    whole = x.sort_values(["pass", "range", "key", "key2", "id"])
+    fresh = dict(zip(x["id"], x["fresh"]))
+    pairs = lambda out: {(min(a, b), max(a, b)) for y in out for a, b in y.to_numpy().tolist()}
+    want = {(a, b) for a, b in pairs(incremental._neighbours(iter([whole]))) if fresh[a] != fresh[b]}
+    new = incremental._in_order({c: x[x.fresh][c].to_numpy() for c in cols})
+    old = whole[~whole.fresh]
+    got = pairs(incremental._beside(SimpleNamespace(value=new))(old[i : i + 170] for i in range(0, len(old), 170)))
+    assert want <= got and all(fresh[a] != fresh[b] for a, b in got) and len(want) > 1000
+
+
 def test_ranges_of_hot_keys():
     bounds = [[5, -(2**63)], [9, -(2**63)], [9, 10], [9, 20], [12, -(2**63)]]
     key, key2 = np.array([1, 5, 8, 9, 9, 9, 9, 11, 12, 99]), np.array([0, 0, 0, -5, 10, 19, 20, 0, 0, 0])
