@@ -209,6 +209,17 @@ def test_bounds_exclude_no_true_pair():
         assert got.tolist() == want
 
 
+def test_bounds_tell_unlike_rows_apart():
+    # rows of one headword with other glosses, of phrases with other glosses, and without glosses
+    r = random.Random(39)
+    n = 600
+    i, j = np.triu_indices(n, 1)
+    g = ["".join(r.choice("eeeettaaooiinnssrrlcdumpgbvh") for _ in range(20)) for _ in range(n)]
+    for k, g, most in (([word(r)] * n, g, 0.05), ([word(r, 25) for _ in g], g, 0.05), ([word(r) for _ in g], [""] * n, 0.04)):
+        sig, sig2 = neardup.bounds(k, g)
+        assert neardup.may_match(sig[i], sig2[i], sig[j], sig2[j]).mean() < most
+
+
 def test_star_edges_span_batches():
     import pandas as pd
 
@@ -265,6 +276,18 @@ def test_history_is_met_where_it_lies():
     assert want <= got and all(fresh[a] != fresh[b] for a, b in got) and len(want) > 1000
 
 
+def test_history_of_another_form_is_not_read(spark, tmp_path):
+    path = f"file://{tmp_path}/history"
+    rows = spark.createDataFrame([(1, "ដើមតុប", "tree")], "pos_ord long, khmer string, english string")
+    h = incremental.TermHistory(spark, path)
+    h.accept(rows, "pos_ord", sign=-1)
+    assert incremental.TermHistory(spark, path).check(rows, "pos_ord").collect() == [(1, -1)]
+    h.state["form"], h.state["serial"] = None, 99
+    h._save()
+    with pytest.raises(ValueError):
+        incremental.TermHistory(spark, path)
+
+
 def test_ranges_of_hot_keys():
     bounds = [[5, -(2**63)], [9, -(2**63)], [9, 10], [9, 20], [12, -(2**63)]]
     key, key2 = np.array([1, 5, 8, 9, 9, 9, 9, 11, 12, 99]), np.array([0, 0, 0, -5, 10, 19, 20, 0, 0, 0])
