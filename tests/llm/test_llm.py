@@ -324,6 +324,31 @@ def test_history_is_reopened_and_pruned(spark, tmp_path):
         incremental.RANGE_ROWS = keep
 
 
+def test_small_runs_are_one_file_each(spark, tmp_path):
+    # a read of the history opens no file for each range of every batch; large runs still stand by range
+    r = random.Random(40)
+    keep = incremental.RANGE_ROWS, incremental.SEND_MAX
+    incremental.RANGE_ROWS = 100
+    cols = "raw_id long, khmer string, english string"
+    make = lambda n, at: [(at + i, word(r, 7), "".join(r.choice("abcdefgh") for _ in range(9))) for i in range(n)]
+    old, new = make(300, 1), make(60, 1000)
+    files = lambda p: len(list((tmp_path / p[len(f"file://{tmp_path}/") :]).rglob("*.parquet")))
+    try:
+        for most, path in ((keep[1], f"file://{tmp_path}/a"), (100, f"file://{tmp_path}/b")):
+            incremental.SEND_MAX = most
+            h = incremental.TermHistory(spark, path)
+            h.accept(spark.createDataFrame(old, cols), "raw_id", sign=-1)
+            for i in range(6):
+                h.check(spark.createDataFrame(new[10 * i : 10 * i + 10], cols), "raw_id")
+            n = [files(p) for p in h.state["runs"]]
+            assert n[0] >= 2 * incremental.PASSES and n[2:] == [1, 1] and (n[1] == 1) == (most > 100), n
+            last = h.check(spark.createDataFrame([(9000 + i, *x[1:]) for i, x in enumerate(old[::50] + new[::7])], cols), "raw_id")
+            want = [-x[0] for x in old[::50]] + [x[0] for x in new[::7]]
+            assert {x.id: x.partner for x in last.collect()} == {9000 + i: p for i, p in enumerate(want)}
+    finally:
+        incremental.RANGE_ROWS, incremental.SEND_MAX = keep
+
+
 # --- truncation ------------------------------------------------------------------------------
 
 
