@@ -295,6 +295,23 @@ def test_ranges_of_hot_keys():
     assert incremental.range_of([], key, key2).tolist() == [0] * 10
 
 
+def test_hot_keys_are_divided_at_their_own_numbers(spark, tmp_path):
+    # keys are numbers of 64 bits: a quantile taken as a double is none of them
+    r = random.Random(4)
+    letters = lambda n: "".join(chr(0x1780 + r.randrange(33)) for _ in range(n))
+    head = letters(8)
+    rows = [(i, head + letters(6) if i % 2 else letters(14), "".join(r.choice("abcdefgh") for _ in range(9))) for i in range(1000)]
+    keep, incremental.RANGE_ROWS = incremental.RANGE_ROWS, 100
+    try:
+        h = incremental.TermHistory(spark, "file://" + str(tmp_path / "h"))
+        h.accept(spark.createDataFrame(rows, "pos_ord long, khmer string, english string"), "pos_ord", sign=-1)
+        of = incremental.ANCHORS  # the pass by the whole text
+        sizes = [r["count"] for r in spark.read.schema(incremental.ENTRY).parquet(h.state["runs"][0]).where(F.col("pass") == of).groupBy("range").count().collect()]
+        assert sum(sizes) == 1000 and max(sizes) <= 200, sizes
+    finally:
+        incremental.RANGE_ROWS = keep
+
+
 def test_history_is_reopened_and_pruned(spark, tmp_path):
     r = random.Random(22)
     keep, incremental.RANGE_ROWS = incremental.RANGE_ROWS, 100
