@@ -327,3 +327,38 @@ def test_summary_reports_and_relocation(spark):
     s = spark.createDataFrame([(1, "s", "long gloss", 9, "", "", ""), (2, "s", "long gloss", 9, "y", "", "")], "i long, source string, english string, page int, khmer_ok string, english_ok string, notes string")
     p = spark.createDataFrame([("s", 4, "Eng. long gloss")], "source string, page int, text string")
     assert {x.i: x.page for x in estimate.relocate_unjudged(s, p, "i").collect()} == {1: 4, 2: 9}
+
+
+def test_hashed_terms_are_found_as_by_the_join(spark):
+    # term lists too long for the automaton: no row is made of a place without a hit, whatever the parts
+    import random
+
+    r = random.Random(8)
+    make = lambda n: "".join(r.choice("កខគ្ាំab") for _ in range(n))
+    words = sorted({make(r.choice([1, 2, 3, 4, 5, 7, 9, 13, 30, 70])) for _ in range(400)})
+    texts = ["".join(r.choice(words) if r.random() < 0.5 else make(3) for _ in range(r.randint(0, 30))) for _ in range(60)] + [None, "", "𐐀" + words[5]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    terms = spark.createDataFrame([(w,) for w in words] + [("",), (None,)], "term string")
+    want = sorted(map(tuple, matching.joined_occurrences(docs, terms).collect()))
+    keep = matching.BROADCAST_CHARS, matching.HASHED_TERMS, matching.CHUNK
+    try:
+        matching.BROADCAST_CHARS = 0
+        for matching.HASHED_TERMS, matching.CHUNK in ((1000, 1 << 18), (150, 50)):
+            df = matching.occurrences(docs, terms)
+            assert sorted(map(tuple, df.collect())) == want and want
+            assert "Join" not in df._jdf.queryExecution().toString()
+            assert sorted(map(tuple, matching.terms_present(docs, terms).collect())) == sorted({x[:2] for x in want})
+    finally:
+        matching.BROADCAST_CHARS, matching.HASHED_TERMS, matching.CHUNK = keep
+
+
+def test_draft_hits_know_the_clusters(spark):
+    # cluster edges go along with the text: no shuffle of texts or of arrays of their places
+    texts = ["\x01កា\x01\x01ខ្មែរ", "ខ្មែរកា\x01", "e\u0301ខ្មែរ ក", "\x01", "កា\r\nខ្មែរ"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    terms = spark.createDataFrame([(x,) for x in ("កា", "ក", "ខ្មែរ", "ខ្ម", "\x01", "\x01ក", "\x01\x01ខ", "e", "\n")], "term string")
+    bounds = docs.select("doc_id", X.cluster_boundaries(F.col("text")).alias("b"))
+    want = matching.joined_occurrences(docs, terms).join(bounds, "doc_id").select("doc_id", "term", "start", "end", X.on_boundary(F.col("b"), F.col("start"), F.col("end")))
+    got = matching._draft_hits(docs, terms, "doc_id", "text")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.where("whole").count() > 5
+    assert "Exchange" not in got._jdf.queryExecution().toString()
