@@ -362,3 +362,16 @@ def test_draft_hits_know_the_clusters(spark):
     got = matching._draft_hits(docs, terms, "doc_id", "text")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.where("whole").count() > 5
     assert "Exchange" not in got._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("part", ["matches", "loanwords"])
+def test_large_lexicon_makes_no_rows_of_places(spark, part, monkeypatch):
+    entries = spark.createDataFrame([(1, "ខ្មែរ", "river bank"), (2, "ភាសាខ្មែរ", "river"), (3, "កាកា", "bank")], "pos_ord long, khmer string, english string")
+    docs = spark.createDataFrame([(1, "ភាសាខ្មែរ River bank, bank"), (2, "bank of a river: ខ្មែរ"), (3, "riverbank")], "doc_id long, text string")
+    columns = ["doc_id", "term", "start", "end"]
+    rows = lambda: sorted(map(tuple, matching.check_drafts(docs, entries)[part].select(*columns).collect()))
+    want = rows()
+    # a list beyond the automaton's bound used to be joined to every place of every text
+    monkeypatch.setattr(matching, "BROADCAST_CHARS", 0)
+    monkeypatch.setattr(matching, "joined_occurrences", None)
+    assert rows() == want and want
