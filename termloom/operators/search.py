@@ -61,11 +61,13 @@ def search_total(lexicon: DataFrame, query: str, category: str = "") -> DataFram
 def did_you_mean(lexicon: DataFrame, queries: DataFrame, query: str = "query", limit: int = 6, order: str = "pos_ord") -> DataFrame:
     """``query, khmer, distance, rank``: headwords within one cluster of each Khmer query."""
     q = queries.select(F.col(query).alias("query")).where(X.has_khmer(F.col("query"))).distinct()
-    q = q.withColumn("_q", X.clusters(X.canonical_marks(X.strip(F.col("query")))))
-    f = lexicon.select(X.strip(_v("khmer")).alias("khmer")).where("khmer <> ''").distinct().withColumn("_f", X.clusters(X.canonical_marks(F.col("khmer"))))
-    a = q.select("query", "_q", F.explode(deletion_keys(F.col("_q"))).alias("key"))
-    b = f.select("khmer", "_f", F.explode(deletion_keys(F.col("_f"))).alias("key"))
-    c = a.join(b, "key").dropDuplicates(["query", "khmer"]).where(F.abs(F.size("_q") - F.size("_f")) <= 1)
+    q = q.withColumn("_q", X.canonical_marks(X.strip(F.col("query")))).withColumn("hq", F.xxhash64("query"))
+    f = lexicon.select(X.strip(_v("khmer")).alias("khmer")).where("khmer <> ''").distinct().withColumn("_f", X.canonical_marks(F.col("khmer"))).withColumn("hf", F.xxhash64("khmer"))
+    # keys meet as two numbers each, and only the pairs that share one meet their texts; equal numbers of different texts fail the distance
+    keys = lambda c: F.explode(F.transform(deletion_keys(X.clusters(F.col(c))), lambda k: F.xxhash64(k))).alias("key")
+    a, b = q.select("hq", keys("_q")), f.select("hf", keys("_f"))
+    c = a.join(b, "key").select("hq", "hf").distinct().join(q, "hq").join(f, "hf")
+    c = c.withColumn("_q", X.clusters(F.col("_q"))).withColumn("_f", X.clusters(F.col("_f"))).where(F.abs(F.size("_q") - F.size("_f")) <= 1)
     c = c.withColumn("distance", X.array_edit_distance(F.col("_q"), F.col("_f"))).where("distance <= 1")
     w = Window.partitionBy("query").orderBy("distance", F.length("khmer"), "khmer")
     return c.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit).select("query", "khmer", "distance", "rank")

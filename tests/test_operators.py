@@ -375,3 +375,13 @@ def test_large_lexicon_makes_no_rows_of_places(spark, part, monkeypatch):
     monkeypatch.setattr(matching, "BROADCAST_CHARS", 0)
     monkeypatch.setattr(matching, "joined_occurrences", None)
     assert rows() == want and want
+
+
+def test_suggestions_meet_as_numbers(spark):
+    # what is made of every deletion is two numbers, not the texts and their clusters
+    import re
+
+    lex = spark.createDataFrame([(i, k) for i, k in enumerate(["កខគ", "កខ", "កខគឃ", "ងងង", "ខ", None])], "pos_ord long, khmer string")
+    df = search.did_you_mean(lex, spark.createDataFrame([("កខគ",), ("ក",), ("ងងក",)], "query string"))
+    assert {tuple(r)[:3] for r in df.collect()} == {("កខគ", "កខគ", 0), ("កខគ", "កខ", 1), ("កខគ", "កខគឃ", 1), ("ក", "ខ", 1), ("ក", "កខ", 1), ("ងងក", "ងងង", 1)}
+    assert re.search(r"Join Inner, \(key#\d+L = key#\d+L\)", df._jdf.queryExecution().optimizedPlan().toString())
